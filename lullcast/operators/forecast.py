@@ -25,7 +25,12 @@ STEPS_PER_PLAN = 14
 
 
 class Scorer(Protocol):
-    """Anything that adds the chance ``p`` and quantity ``q`` to a feature table."""
+    """Anything that adds the chance ``p`` and quantity ``q`` to a feature table.
+
+    ``inputs`` names the features it reads; no others are computed for it.
+    """
+
+    inputs: frozenset[str]
 
     def score(self, features: DataFrame) -> DataFrame: ...
 
@@ -33,6 +38,8 @@ class Scorer(Protocol):
 class RuleScorer:
     """Chance: share of sale days among the last 7. Quantity: their mean."""
 
+    inputs = frozenset(["rolling_zero_count_7d", "roll_mean_7"])
+
     def score(self, features: DataFrame) -> DataFrame:
         days = F.lit(float(ZERO_COUNT_ROWS))
         return features.withColumns(
@@ -43,6 +50,8 @@ class RuleScorer:
 class ZeroScorer:
     """No sale, for data on which no model can be fitted."""
 
+    inputs = frozenset()
+
     def score(self, features: DataFrame) -> DataFrame:
         return features.withColumns({"p": F.lit(0.0), "q": F.lit(0.0)})
 
@@ -82,37 +91,39 @@ def _lag(step: int, n: int) -> Column:
     return F.coalesce(arrays.from_end(F.col("hist"), n - step + 1), F.lit(0.0))
 
 
+def _shared_features(scorer: Scorer, spec: StateSpec, cfg: dict, origin) -> dict[str, Column]:
+    """The features whose expression is the same at every step."""
+    features = window_columns(F.col("recent"), spec.windows)
+    if spec.intermittency:
+        features |= interval_columns(F.col("recent"), F.col("ring"))
+    start = F.date_add("last_ds", 1) if origin is None else origin
+    features |= future_columns(F.col("next_ds"), start, cfg)
+    return {name: c for name, c in features.items() if name in scorer.inputs}
+
+
 def _step(
     state: DataFrame,
     kept: list[str],
     h: int,
+    shared: dict[str, Column],
     scorer: Scorer,
     threshold: float,
     spec: StateSpec,
-    cfg: dict,
-    origin,
 ) -> DataFrame:
-    recent, ring, ds = F.col("recent"), F.col("ring"), F.date_add("last_ds", h)
-    start = F.date_add("last_ds", 1) if origin is None else origin
-    features = {f"lag_{n}": _lag(h, n) for n in spec.lags}
-    features |= window_columns(recent, spec.windows)
-    if spec.intermittency:
-        features |= interval_columns(recent, ring)
-    features |= future_columns(ds, start, cfg)
-
-    scored = scorer.score(state.withColumns(features)).select(
+    recent, ring, yhat = F.col("recent"), F.col("ring"), F.col(f"yhat_{h}")
+    lags = {f"lag_{n}": _lag(h, n) for n in spec.lags if f"lag_{n}" in scorer.inputs}
+    scored = scorer.score(state.withColumns({**lags, **shared})).select(
         *kept,
         F.col("p").cast("double").alias(f"p_{h}"),
         F.col("q").cast("double").alias(f"q_{h}"),
         hurdle(F.col("p"), F.col("q"), threshold).alias(f"yhat_{h}"),
     )
-    since = arrays.next_days_since_sale(
-        F.coalesce(arrays.from_end(ring, 1), F.lit(0.0)), F.col(f"yhat_{h}")
-    )
+    since = F.coalesce(arrays.from_end(ring, 1), F.lit(0.0))
     return scored.withColumns(
         {
-            "recent": arrays.push(recent, F.col(f"yhat_{h}"), spec.window_rows),
-            "ring": arrays.push(ring, since, INTERVAL_ROWS),
+            "recent": arrays.push(recent, yhat, spec.window_rows),
+            "ring": arrays.push(ring, arrays.next_days_since_sale(since, yhat), INTERVAL_ROWS),
+            "next_ds": F.date_add("next_ds", 1),
         }
     )
 
@@ -130,19 +141,24 @@ def forecast_from_state(
 
     Each step is a projection of the one-row-per-series state, so the steps add no
     shuffle. The history array stays as it is: a lag reads it, or an earlier step's
-    column; only the short ``recent`` and ``ring`` arrays move. Only the scorer
-    looks at features, so unread ones are pruned from the plan.
+    column; only the short ``recent`` and ``ring`` arrays move.
     """
     spec = spec or StateSpec.from_settings(cfg)
     horizon = cfg["cv"]["horizon"]
-    current = state.withColumn("recent", arrays.last_n(F.col("hist"), spec.window_rows))
-    kept = [*schema.keys, "last_ds", "hist", "recent", "ring"]
+    current = state.withColumns(
+        {
+            "recent": arrays.last_n(F.col("hist"), spec.window_rows),
+            "next_ds": F.date_add("last_ds", 1),
+        }
+    )
+    kept = [*schema.keys, "last_ds", "next_ds", "hist", "recent", "ring"]
+    shared = _shared_features(scorer, spec, cfg, origin)
     for h in range(1, horizon + 1):
-        current = _step(current, kept, h, scorer, threshold, spec, cfg, origin)
+        current = _step(current, kept, h, shared, scorer, threshold, spec)
         kept += [f"p_{h}", f"q_{h}", f"yhat_{h}"]
         if h % STEPS_PER_PLAN == 0 and h < horizon:
             current = materialize(current, "forecast-steps")
-    return current.drop("hist", "recent", "ring")
+    return current.drop("next_ds", "hist", "recent", "ring")
 
 
 def recursive_forecast(

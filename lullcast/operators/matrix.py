@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml.feature import StringIndexer, StringIndexerModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,6 +64,57 @@ def informative_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
     return [c for c in columns if c in kept]
 
 
+@dataclass(frozen=True)
+class ClassProfile:
+    """Row counts and column extremes per (validation?, sale?) group of a table."""
+
+    counts: dict[tuple[bool, bool], int]
+    extremes: dict[tuple[bool, bool], dict[str, tuple]]
+
+    def count(self, validation: bool, sale: bool) -> int:
+        return self.counts.get((validation, sale), 0)
+
+    def varying(self, columns: Sequence[str], *groups: tuple[bool, bool]) -> list[str]:
+        """Columns with two values or more over the groups taken together."""
+        out = []
+        for name in columns:
+            ends = [self.extremes[g][name] for g in groups if g in self.extremes]
+            known = [v for pair in ends for v in pair if v is not None]
+            if known and min(known) < max(known):
+                out.append(name)
+        return out
+
+
+def class_profile(
+    df: DataFrame, target: str, columns: Sequence[str], validation: Column | None = None
+) -> ClassProfile:
+    """What the gate and both models have to know about a table, in one pass.
+
+    At most four rows reach the driver.
+    """
+    sale = F.coalesce(F.col(target) > 0, F.lit(False)).alias("_sale")
+    held_out = (F.lit(False) if validation is None else validation).alias("_held_out")
+    ends = [
+        c
+        for i, name in enumerate(columns)
+        for c in (F.min(name).alias(f"min_{i}"), F.max(name).alias(f"max_{i}"))
+    ]
+    rows = (
+        df.select(*columns, sale, held_out)
+        .groupBy("_held_out", "_sale")
+        .agg(F.count("*").alias("n"), *ends)
+        .collect()
+    )
+    groups = {(r["_held_out"], r["_sale"]): r for r in rows}
+    return ClassProfile(
+        {g: r["n"] for g, r in groups.items()},
+        {
+            g: {name: (r[f"min_{i}"], r[f"max_{i}"]) for i, name in enumerate(columns)}
+            for g, r in groups.items()
+        },
+    )
+
+
 def candidate_features(df: DataFrame, drop: Sequence[str]) -> list[str]:
     """Columns that can enter a model: numbers and text not in ``drop``."""
     usable = (T.NumericType, T.StringType, T.BooleanType)

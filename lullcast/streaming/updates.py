@@ -48,14 +48,18 @@ def _features(hist: list[float], ring: list[float], spec: StateSpec) -> list[flo
     return [float(v) for v in out]
 
 
-def _first_per_day(chunks: Iterator[pd.DataFrame], schema: PanelSchema) -> dict[int, float]:
-    """Day number to value; arrival order decides between two rows of one day, so the
-    group's memory is bounded by its days, not by its rows."""
+def _first_per_day(
+    chunks: Iterator[pd.DataFrame], schema: PanelSchema
+) -> tuple[dict[int, float], int]:
+    """Day number to value, and how many rows repeat a day. The first to arrive stays,
+    so the group's memory is bounded by its days, not by its rows."""
     found: dict[int, float] = {}
+    n_rows = 0
     for chunk in chunks:
+        n_rows += len(chunk)
         for day, y in zip(chunk[schema.date], chunk[schema.target], strict=True):
             found.setdefault((day - EPOCH).days, float("nan") if pd.isna(y) else float(y))
-    return found
+    return found, n_rows - len(found)
 
 
 def stream_features(
@@ -78,7 +82,8 @@ def stream_features(
             last, n_obs, ignored, hist, ring = state.get
             hist, ring = list(hist), list(ring)
         out = []
-        found = _first_per_day(chunks, schema)
+        found, n_repeated = _first_per_day(chunks, schema)
+        ignored += n_repeated
         for day in sorted(found):
             if day <= last:
                 ignored += 1

@@ -35,7 +35,7 @@ class StateSpec:
 
     @property
     def tail_rows(self) -> int:
-        return max([*self.lags, *self.windows, 1]) + 1
+        return max([*self.lags, *self.windows, ZERO_COUNT_ROWS]) + 1
 
     @property
     def window_rows(self) -> int:
@@ -60,11 +60,11 @@ def series_state(df: DataFrame, schema: PanelSchema, spec: StateSpec) -> DataFra
     """Per series: ``last_ds``, ``n_obs``, the values ``hist`` of its last rows and
     the days-since-sale ``ring`` of its last 28 rows.
 
-    Rows are cut to the tail before they are collected, so an array holds at most
-    ``spec.tail_rows`` elements; the grouping reuses the window's partitioning.
+    Rows are cut to the tail before they are collected, so an array is as long as the
+    longest lag or window at most; the grouping reuses the window's partitioning.
     """
     since = days_since_sale(df, schema, "since", pre_first_sale="count")
-    tail = tail_rows(since, schema, spec.tail_rows)
+    tail = tail_rows(since, schema, max(spec.tail_rows, INTERVAL_ROWS))
     keys = schema.keys
     grouped = tail.groupBy(*keys).agg(
         F.max(schema.date).alias("last_ds"),
@@ -73,7 +73,8 @@ def series_state(df: DataFrame, schema: PanelSchema, spec: StateSpec) -> DataFra
             F.collect_list(F.struct("_rn", F.col(schema.target).alias("y"), "since"))
         ).alias("_rows"),
     )
-    hist = F.transform("_rows", lambda r: r["y"].cast("double"))
+    values = F.transform("_rows", lambda r: r["y"].cast("double"))
+    hist = arrays.last_n(values, spec.tail_rows)
     ring = arrays.last_n(F.transform("_rows", lambda r: r["since"]), INTERVAL_ROWS)
     if spec.pads:
         hist, ring = arrays.pad_left(hist, spec.tail_rows), arrays.pad_left(ring, INTERVAL_ROWS)

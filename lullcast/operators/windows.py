@@ -79,7 +79,8 @@ def rolling_layers(schema: PanelSchema, windows: Sequence[int]) -> Layers:
 
     A window twice as long as another is put together from that one and its value
     half a window ago: a sliding frame visits all its rows for every row. Squared
-    deviations are merged about the halves' means, so nothing cancels.
+    deviations are merged about the halves' means, so nothing cancels, and a window
+    of equal values has the deviation 0 exactly.
     """
     y, w = F.col(schema.target), schema.by_date()
     whole = set(windows)
@@ -111,9 +112,10 @@ def rolling_layers(schema: PanelSchema, windows: Sequence[int]) -> Layers:
     last = {}
     for n in windows:
         count, m2 = F.col(f"_n_{n}"), F.col(f"_m2_{n}")
+        varies = F.col(f"_min_{n}") < F.col(f"_max_{n}")
         last |= {
             f"roll_mean_{n}": _or_zero(F.try_divide(F.col(f"_sum_{n}"), count)),
-            f"roll_std_{n}": _or_zero(F.sqrt(F.when(count > 1, F.try_divide(m2, count - 1)))),
+            f"roll_std_{n}": _or_zero(F.sqrt(F.when(varies, F.try_divide(m2, count - 1)))),
             f"roll_min_{n}": _or_zero(F.col(f"_min_{n}")),
             f"roll_max_{n}": _or_zero(F.col(f"_max_{n}")),
         }

@@ -1,0 +1,154 @@
+import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from lullcast.config import settings
+from lullcast.operators.submission import fill_by_id, fill_by_row_key, require_unique_ids
+from lullcast.plans.prediction import predict
+from lullcast.plans.training import train
+from lullcast.sources.readers import first_rows, read_batches, read_panel, read_template
+from lullcast.sources.writers import require_same_columns, write_submission
+
+BOM = b"\xef\xbb\xbf"
+
+
+def one_file(folder):
+    (found,) = folder.glob("part-*.csv")
+    return found.read_bytes()
+
+
+def test_panel_from_csv_keeps_the_first_row_in_the_file(spark, tmp_path):
+    path = tmp_path / "train.csv"
+    path.write_text(
+        "date,store_id,sales,feat\n2021-01-02,A b,5,1\n2021-01-01,A b,-4,2\n2021-01-02,A b,9,3\n",
+        encoding="utf-8",
+    )
+    panel, roles = read_panel(spark, str(path), settings())
+    rows = panel.orderBy("date").collect()
+    assert [(r.id, r.date.day, r.sales, r.feat) for r in rows] == [("A_b", 1, 0.0, 2), ("A_b", 2, 5.0, 1)]
+    assert roles.series == ("store_id",)
+    assert [r.feat for r in first_rows(panel, 1, "id", "date").collect()] == [2]
+
+
+def test_batches(spark, tmp_path):
+    for name in ("TEST_00", "TEST_01", "other"):
+        (tmp_path / f"{name}.csv").write_text("ds,y,store_id\n2021-01-01,1,s\n", encoding="utf-8")
+    panel, roles = read_batches(spark, str(tmp_path), settings())
+    assert sorted(r.test_name for r in panel.collect()) == ["TEST_00", "TEST_01"]
+    assert roles.keys == ["test_name", "store_id"]
+    empty = tmp_path / "empty"
+    empty.mkdir()
+    with pytest.raises(FileNotFoundError):
+        read_batches(spark, str(empty), settings())
+
+
+def test_submission_round_trip(spark, tmp_path):
+    source = tmp_path / "template.csv"
+    source.write_bytes(BOM + "영업일자,메뉴 A,B\nTEST_00+1,,x\nTEST_00+2,NaN,\"q\"\"r, s\"\n".encode())
+    template = read_template(spark, str(source))
+    assert template.columns == ["영업일자", "메뉴 A", "B", "_row"]
+    write_submission(template, template.columns[:-1], str(tmp_path / "out"))
+    written = one_file(tmp_path / "out")
+    assert written.splitlines()[0] == source.read_bytes().splitlines()[0]
+    back = read_template(spark, str(tmp_path / "out"))
+    assert back.columns == template.columns
+    assert [tuple(r)[:3] for r in back.collect()] == [("TEST_00+1", None, "x"), ("TEST_00+2", None, 'q"r, s')]
+
+
+def test_submission_order_in_several_parts(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("lullcast.sources.writers.SINGLE_FILE_ROWS", 10)
+    df = spark.range(500).select(F.col("id").cast("string").alias("id"), F.col("id").alias("_row"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    write_submission(df.repartition(7), ["id"], str(tmp_path / "out"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    parts = sorted((tmp_path / "out").glob("part-*.csv"))
+    assert len(parts) > 1
+    lines = [line for p in parts for line in p.read_text(encoding="utf-8-sig").splitlines()[1:]]
+    assert lines == [str(i) for i in range(500)]
+
+
+def test_changed_columns_are_refused(spark):
+    with pytest.raises(ValueError, match="differ"):
+        require_same_columns(spark.createDataFrame([(1, 2)], "a int, b int"), ["b", "a"])
+
+
+def test_fill_by_id_touches_null_cells_only(spark):
+    template = spark.createDataFrame(
+        [("a", None, "7", "k"), ("b", "1", None, None), ("c", None, None, None)],
+        "id string, D1 string, D2 string, note string",
+    )
+    predictions = spark.createDataFrame([("a", 0.5, 0.6), ("b", 1.5, 1.6)], "id string, D1 double, D2 double")
+    out = fill_by_id(template, predictions)
+    assert out.columns == template.columns
+    assert {tuple(r) for r in out.collect()} == {
+        ("a", "0.5", "7", "k"), ("b", "1", "1.6", None), ("c", None, None, None),
+    }
+    require_unique_ids(predictions, "id")
+    with pytest.raises(ValueError, match="several"):
+        require_unique_ids(predictions.union(predictions), "id")
+
+
+def test_fill_by_row_key_overwrites_hits(spark):
+    template = spark.createDataFrame(
+        [("TEST_00+영업1일", "9", "9", "9"), ("TEST_00+영업8일", "9", None, "9"), ("TEST_09+1", "9", "9", "9"),
+         ("none", "9", "9", "9")],
+        "key string, `m  1` string, m_1 string, other string",
+    )
+    predictions = spark.createDataFrame(
+        [("TEST_00", "m_1", 1, 2.5), ("TEST_00", "m_1", 2, 3.5), ("TEST_00", "unused", 1, 4.5)],
+        "test_name string, id string, step int, yhat double",
+    )
+    rows = {r[0]: tuple(r)[1:] for r in fill_by_row_key(template, predictions, "key").collect()}
+    assert rows == {
+        "TEST_00+영업1일": ("2.5", "2.5", "9"), "TEST_00+영업8일": ("9", None, "9"),
+        "TEST_09+1": ("9", "9", "9"), "none": ("9", "9", "9"),
+    }
+
+
+CFG = settings(
+    {
+        "model": {"classifier": {"maxIter": 2, "maxDepth": 2}, "regressor": {"maxIter": 2, "maxDepth": 2}},
+        "features": {"lags": [1, 7], "rollings": [7], "fourier": {"weekly_K": 1, "yearly_K": 0}},
+        "cv": {"horizon": 2, "init_train_ratio": 0.9, "min_positive_samples": 3, "max_folds": 1},
+    }
+)
+
+
+def csv_rows(names, days):
+    first = datetime.date(2021, 1, 1)
+    return "date,store_id,sales\n" + "".join(
+        f"{first + datetime.timedelta(days=i)},{n},{(i % 5 == 0) * (k + 2)}\n"
+        for k, n in enumerate(names)
+        for i in range(days)
+    )
+
+
+@pytest.fixture(scope="module")
+def trained(spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("job")
+    (folder / "train.csv").write_text(csv_rows(["s 1", "s 2"], 60), encoding="utf-8")
+    panel, roles = read_panel(spark, str(folder / "train.csv"), CFG)
+    train(panel, roles, CFG, str(folder / "model"))
+    return folder
+
+
+def test_predict_fills_a_row_key_template(spark, trained, tmp_path):
+    for k in (0, 1):
+        (tmp_path / f"TEST_0{k}.csv").write_text(csv_rows(["s 1", "s 2"], 30 + k), encoding="utf-8")
+    template = tmp_path / "sample.csv"
+    template.write_bytes(BOM + "영업일자,s 1,s 2,s 3\nTEST_01+2일,,,5\nTEST_00+1일,0,0,0\nTEST_00+3일,0,0,0\n".encode())
+    predict(spark, str(trained / "model"), str(tmp_path), str(template), str(tmp_path / "out"), CFG)
+    lines = one_file(tmp_path / "out").decode("utf-8-sig").splitlines()
+    assert lines[0] == "영업일자,s 1,s 2,s 3"
+    cells = [line.split(",") for line in lines[1:]]
+    assert [c[0] for c in cells] == ["TEST_01+2일", "TEST_00+1일", "TEST_00+3일"]
+    assert cells[0][3] == "5" and cells[2] == ["TEST_00+3일", "0", "0", "0"]
+    assert all(float(v) >= 0 for v in cells[0][1:] + cells[1][1:])
+
+
+def test_predict_guards_short_batches(spark, trained, tmp_path):
+    (tmp_path / "TEST_00.csv").write_text(csv_rows(["s 1"], 27), encoding="utf-8")
+    (tmp_path / "sample.csv").write_text("id,D1\ns_1,\n", encoding="utf-8")
+    with pytest.raises(ValueError, match="fewer than 28"):
+        predict(spark, str(trained / "model"), str(tmp_path), str(tmp_path / "sample.csv"), str(tmp_path / "o"), CFG)

@@ -61,6 +61,17 @@ def keep_first(
     return ranked.filter(F.col("_place") == 1).drop("_place")
 
 
+def require_one_row_per_day(df: DataFrame, schema: PanelSchema) -> None:
+    """Raise if a (series, date) repeats: ``keep_first`` has to run before.
+
+    Counts are combined before the shuffle, so a frequent pair costs nothing extra.
+    """
+    counts = df.groupBy(*schema.keys, schema.date).agg(F.count("*").alias("n_rows"))
+    found = counts.filter(F.col("n_rows") > 1).limit(5).collect()
+    if found:
+        raise ValueError(f"several rows for one series and date: {found}")
+
+
 def clip_negatives(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Negative values become 0; nulls stay."""
     return df.withColumns({c: F.when(F.col(c) < 0, 0).otherwise(F.col(c)) for c in columns})

@@ -27,8 +27,12 @@ def fill_days(daily: DataFrame, schema: PanelSchema, first: Column, last: Column
     """Add a 0 for every day from ``first`` to ``last`` that a series lacks.
 
     Each row is stretched to the day before the next one, so that no second table
-    of all (series, day) pairs has to be built and joined.
+    of all (series, day) pairs has to be built and joined. The number of partitions is
+    given, because AQE would merge them by their size before the rows multiply.
     """
+    if schema.keys:
+        n = int(daily.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        daily = daily.repartition(n, *schema.keys)
     w = schema.by_date()
     date, y = schema.date, schema.target
     spans = daily.select(

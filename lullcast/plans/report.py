@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lullcast.functions.calendar import report_calendar_parts
-from lullcast.operators.cleaning import parse_dates_leniently
+from lullcast.operators.cleaning import (
+    keep_first,
+    parse_dates_leniently,
+    require_one_row_per_day,
+)
 from lullcast.operators.folds import calendar_split
 from lullcast.operators.metrics import finite_report, split_report
 from lullcast.operators.windows import report_features, zero_fill
@@ -20,12 +26,26 @@ REPORT_COLUMNS = (
 
 
 def report_table(
-    df: DataFrame, key: str, target: str, date: str = "ds", valid_days: int = 28
+    df: DataFrame,
+    key: str,
+    target: str,
+    date: str = "ds",
+    valid_days: int = 28,
+    tie_break: Sequence[str] | None = None,
 ) -> DataFrame:
-    """``key, ds, target``, the report's features, and the ``split`` of each row."""
+    """``key, ds, target``, the report's features, and the ``split`` of each row.
+
+    With ``tie_break`` only the first row per (key, date) is looked at, as in
+    training. Without it there must be only one: else a key's windows would have no
+    bound on their rows.
+    """
     named = canonical_date(df, key, target, date)
     parsed = parse_dates_leniently(named, date)
     schema = PanelSchema(date, target, (key,))
+    if tie_break is None:
+        require_one_row_per_day(parsed, schema)
+    else:
+        parsed = keep_first(parsed, schema, tie_break)
     featured = zero_fill(report_features(parsed, schema))
     dated = featured.withColumns(report_calendar_parts(F.col(date)))
     columns = [key, date, target, *REPORT_COLUMNS]

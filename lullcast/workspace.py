@@ -40,3 +40,29 @@ def materialize(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
     path = new_path(df.sparkSession, label)
     df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(df.columns)
+
+
+def materialize_by_series(df: DataFrame, label: str, keys: list[str], date: str) -> DataFrame:
+    """Write ``df`` bucketed by series, so that no later per-series job shuffles it.
+
+    Bucketing needs a catalogue entry, named after the folder; ``forget`` removes it.
+    """
+    if not keys:
+        return materialize(df, label)
+    path = new_path(df.sparkSession, label)
+    name = _table_name(path)
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    writer = df.repartition(n, *keys).write.bucketBy(n, *keys).sortBy(*keys, date)
+    writer.option("path", path).saveAsTable(name, format="parquet")
+    return df.sparkSession.table(name)
+
+
+def _table_name(path: str) -> str:
+    return "lullcast_" + path.rsplit("/", 1)[-1].replace("-", "_")
+
+
+def forget(spark: SparkSession, df: DataFrame) -> None:
+    """Drop the catalogue entry of a bucketed table; its files stay."""
+    folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+    for folder in folders:
+        spark.sql(f"DROP TABLE IF EXISTS {_table_name(folder)}")

@@ -32,20 +32,21 @@ def report_table(
     date: str = "ds",
     valid_days: int = 28,
     tie_break: Sequence[str] | None = None,
+    is_panel: bool = False,
 ) -> DataFrame:
     """``key, ds, target``, the report's features, and the ``split`` of each row.
 
     With ``tie_break`` only the first row per (key, date) is looked at, as in
     training. Without it there must be only one: else a key's windows would have no
-    bound on their rows.
+    bound on their rows. That is checked, unless ``is_panel`` states it.
     """
     named = canonical_date(df, key, target, date)
     parsed = parse_dates_leniently(named, date)
     schema = PanelSchema(date, target, (key,))
-    if tie_break is None:
-        require_one_row_per_day(parsed, schema)
-    else:
+    if tie_break is not None:
         parsed = keep_first(parsed, schema, tie_break)
+    elif not is_panel:
+        require_one_row_per_day(parsed, schema)
     featured = zero_fill(report_features(parsed, schema))
     dated = featured.withColumns(report_calendar_parts(F.col(date)))
     columns = [key, date, target, *REPORT_COLUMNS]

@@ -13,7 +13,7 @@ from lullcast.operators.windows import (
     rolling_features,
 )
 from lullcast.plans.report import data_report, report_table
-from lullcast.schema import PanelSchema
+from lullcast.workspace import materialize
 from workload.registry import (
     CFG,
     SUPPLIER,
@@ -175,7 +175,8 @@ def series_gates(spark, sf_dir):
     """
 )
 def oversampled_positives(spark, sf_dir):
-    return oversample_positives(supplier_panel(spark, sf_dir), "y", ["id", "ds"], 0.3)
+    panel = materialize(supplier_panel(spark, sf_dir), "panel")
+    return oversample_positives(panel, "y", ["id", "ds"], 0.3)
 
 
 STEPS = ", ".join(f"max(y) FILTER (WHERE step = {h}) AS D{h}" for h in range(1, H + 1))
@@ -339,9 +340,6 @@ def prediction_check(spark, sf_dir):
     return metrics.prediction_report(customers, "guess", "c_nationkey")
 
 
-SUPPLY = PanelSchema("ds", "y", ("id",))
-
-
 @case(
     f"""
     WITH {SUPPLIER_SQL}, marked AS (
@@ -355,7 +353,7 @@ SUPPLY = PanelSchema("ds", "y", ("id",))
 )
 def data_report_by_split(spark, sf_dir):
     panel = supplier_panel(spark, sf_dir)
-    splits, _ = data_report(report_table(panel, "id", "y"), "id", "y")
+    splits, _ = data_report(report_table(panel, "id", "y", is_panel=True), "id", "y")
     return rounded(splits, "y_var")
 
 
@@ -371,4 +369,4 @@ def data_report_by_split(spark, sf_dir):
 )
 def data_report_finite(spark, sf_dir):
     panel = supplier_panel(spark, sf_dir)
-    return data_report(report_table(panel, "id", "y"), "id", "y")[1]
+    return data_report(report_table(panel, "id", "y", is_panel=True), "id", "y")[1]

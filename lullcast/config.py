@@ -35,6 +35,7 @@ DEFAULTS: dict = {
         "min_positive_samples": 10,
         "min_negative_samples": 10,
         "max_folds": None,
+        "parallelism": 1,
     },
     "threshold": {"grid_start": 0.01, "grid_end": 0.99, "grid_step": 0.01},
 }

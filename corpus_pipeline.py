@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from lullcast.llm import langid, mixing, packing, simhash
-from lullcast.llm.common import table
+from lullcast.llm.common import as_row, table
 from lullcast.llm.exact_dedup import exact_groups
 from lullcast.llm.queries import TOKENIZER
 from lullcast.workspace import materialize
@@ -19,21 +20,29 @@ from lullcast.workspace import materialize
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the models accept; the column ``lang`` stays as it is."""
     models = langid.learn(docs)
-    kept = docs.select(*docs.columns, F.col("text").alias("_read"))
-    return langid.identify(kept, models, "_read").where(~F.col("rejected")).select(*docs.columns)
+    found = langid.identify(docs.select(as_row(docs), "text"), models)
+    return found.where(~F.col("rejected")).select("row.*")
+
+
+def rows_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is in ``ids``, and of rows that repeat both id and
+    text only one. A null id is an id."""
+    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id")
+    keyed = docs.select(as_row(docs), key, F.col("text").alias("_text"))
+    found = keyed.join(ids.select(key).distinct(), "_id", "left_semi")
+    first = Window.partitionBy("_id", "_text").orderBy(F.xxhash64("row"))
+    return found.withColumn("_k", F.row_number().over(first)).where("_k = 1").select("row.*")
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of every group of equal texts, that with the largest doc_id."""
-    kept = exact_groups(docs).where("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    return rows_of(docs, exact_groups(docs).where("kept"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component, that with the smallest doc_id."""
     groups = simhash.near_groups(docs)
-    kept = groups.where("doc_id = component_id").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    return rows_of(docs, groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

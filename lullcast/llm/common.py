@@ -18,6 +18,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def as_row(df: DataFrame) -> Column:
+    """All columns of ``df`` in one, so that names made beside it can't clash with them."""
+    return F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row")
+
+
+def row_and(df: DataFrame, **made: Column) -> list[Column]:
+    """The columns of ``row`` and those ``made``, which replace columns of their names."""
+    names = {c.lower() for c in made}
+    kept = [c for c in df.schema["row"].dataType.names if c.lower() not in names]
+    return [*(F.col(f"row.`{c}`") for c in kept), *(c.alias(n) for n, c in made.items())]
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

@@ -35,6 +35,7 @@ MOST_GRAMS = 200_000
 #: A text is rejected beyond the mean plus so many deviations of its language's entropy.
 TOLERANCE = 8.0
 UNKNOWN = "und"
+IDENTIFIED = ("guess", "confidence", "rejected", "entropies", "size")
 #: Windows that a task remembers with their entropies.
 MOST_KNOWN = 400_000
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -318,12 +319,12 @@ def identify(documents: DataFrame, models: dict[str, Model], text: str = "text")
     ``rejected``, ``entropies`` (per model, in order) and ``size``.
 
     UNKNOWN is always rejected. Rows that repeat get equal results; ties go to the first
-    model. An empty table gives no rows. The models are bounded by their parameters, hence
+    model. An empty table gives no rows; columns of these names are replaced. The models are bounded by their parameters, hence
     they may be broadcast.
     """
-    kept = [c for c in documents.columns if c != text]
-    rows = documents.select(*(F.col(f"`{c}`") for c in kept), text_or_empty(text).alias("_text"))
-    schema = rows.drop("_text").schema
+    columns = [F.col(f"`{c}`") for c in documents.columns if c not in (text, *IDENTIFIED)]
+    rows = documents.select(*columns, text_or_empty(text))
+    schema = documents.select(*columns).schema
     for name, kind in (("guess", "string"), ("confidence", "double"), ("rejected", "boolean"),
                        ("entropies", ArrayType(DoubleType())), ("size", "long")):
         schema = schema.add(name, kind)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lullcast.llm.common import WORD, attach_facts, uniform
+from lullcast.llm.common import WORD, as_row, attach_facts, row_and, uniform
 from lullcast.workspace import materialize
 
 WEIGHTS = (3, 1, 2)
@@ -69,26 +69,25 @@ def mixed(
     ``copies``, how often the mix takes the row.
 
     A null text has size 0 and a null source is the last source. Rows with equal ids draw
-    the same number; sources without words are taken 0 times. An empty table gives no rows.
+    the same number; sources without words are taken 0 times. An empty table gives no rows. Given columns of
+    these names are replaced.
     """
-    names = documents.columns
-    name = F.col(f"`{source}`")
+    name = F.col(f"`{source}`").cast("string")
     sized = documents.select(
-        *(F.col(f"`{c}`") for c in names),
+        as_row(documents),
         F.when(name.isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), name)).alias("_source"),
         word_count(F.col(f"`{text}`")).alias("size"),
     )
     totals = sized.groupBy("_source").agg(F.sum("size").alias("source_size"))
     facts = materialize(source_targets(materialize(totals, "source-sizes"), weights), "targets")
     out = attach_facts(sized, facts, "_source")
-    draw = uniform(seed, F.col(f"`{doc_id}`")) < F.col("rate") - F.floor("rate")
+    draw = uniform(seed, F.col(f"row.`{doc_id}`")) < F.col("rate") - F.floor("rate")
     copies = F.floor("rate") + draw.cast("bigint")
-    return out.withColumn("copies", copies).select(
-        *(F.col(f"`{c}`") for c in names), "size", "source_size", "target", "rate", "copies"
-    )
+    made = {c: F.col(c) for c in ("size", "source_size", "target", "rate")}
+    return out.select(*row_and(out, **made, copies=copies))
 
 
 def emitted(mix: DataFrame) -> DataFrame:
     """Every row of ``mixed`` as often as it was taken, with ``copy`` from 0."""
-    some = mix.where("copies > 0")
-    return some.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies").cast("int") - 1)))
+    each = F.explode(F.sequence(F.lit(0), F.col("copies").cast("int") - 1))
+    return mix.where("copies > 0").withColumn("copy", each)

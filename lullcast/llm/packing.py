@@ -18,11 +18,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lullcast.llm.common import as_row, row_and
 from lullcast.workspace import materialize
 
 CAPACITY = 1024
 END_ID = 2
-SALTS = 1024
+SALTS = 256
 PIECES = "piece int, start bigint, length bigint, ids binary"
 PLAN = "length bigint, first_rank bigint, n bigint, first_sequence bigint, each bigint, offset bigint"
 
@@ -160,14 +161,15 @@ def place_pieces(pieces: DataFrame, keys: list[str], capacity: int = CAPACITY) -
     may go through the driver and be broadcast.
     """
     spark = pieces.sparkSession
-    salted = pieces.withColumn("_salt", F.pmod(F.xxhash64(*keys), F.lit(SALTS)).cast("int"))
+    salt = F.pmod(F.xxhash64(*keys), F.lit(SALTS)).cast("int")
+    salted = pieces.select(as_row(pieces), "length", salt.alias("_salt"))
     counts = materialize(salted.groupBy("length", "_salt").count(), "length-counts")
     before = Window.partitionBy("length").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumn("_before", F.coalesce(F.sum("count").over(before), F.lit(0)))
     histogram = counts.groupBy("length").agg(F.sum("count")).collect()
     runs = plan_runs([(r[0], r[1]) for r in histogram], capacity)
     plan = spark.createDataFrame(runs, PLAN).withColumnRenamed("length", "_length")
-    own = Window.partitionBy("length", "_salt").orderBy(*keys)
+    own = Window.partitionBy("length", "_salt").orderBy(*(f"row.{c}" for c in keys))
     ranked = (
         salted.withColumn("_number", F.row_number().over(own) - 1)
         .join(counts.drop("count"), ["length", "_salt"])
@@ -178,9 +180,7 @@ def place_pieces(pieces: DataFrame, keys: list[str], capacity: int = CAPACITY) -
     placed = ranked.join(F.broadcast(plan), fits)
     sequence = F.col("first_sequence") + F.floor(at / F.col("each"))
     offset = F.col("offset") + F.pmod(at, F.col("each")) * F.col("length")
-    return placed.select(
-        *(F.col(f"`{c}`") for c in pieces.columns), sequence.alias("sequence_id"), offset.alias("offset")
-    )
+    return placed.select(*row_and(placed, sequence_id=sequence, offset=offset))
 
 
 def sequences(placed: DataFrame) -> DataFrame:

@@ -1,9 +1,9 @@
 """Quality classifier: hashed word n-grams, logistic regression, follow the regularised leader.
 
-A text is a sparse vector of hashed words and word pairs, scaled to length one. Learners
-each take a slice of a bounded sample of labelled rows and make FTRL-proximal updates row by
-row; their weights are averaged. The model has ``1 << BITS`` weights at most, which bounds
-what goes through the driver. A score is the logistic function of a sparse dot product.
+A text is a sparse vector of hashed words and word pairs, scaled to length one. The updates
+go row by row, hence one task makes them, over a bounded sample of the labelled rows. The
+model has ``1 << BITS`` weights at most, which bounds what goes through the driver. A score
+is the logistic function of a sparse dot product.
 """
 
 from __future__ import annotations
@@ -23,8 +23,7 @@ from lullcast.llm.sharding import shuffle_order
 BITS = 18
 #: The classifier is fitted on so many labelled rows at most, those first in hash order.
 SAMPLE_ROWS = 12_000
-LEARNERS = 6
-PASSES = 2
+PASSES = 4
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -43,7 +42,7 @@ def features(text: str, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
 class Ftrl:
     """FTRL-proximal for logistic loss; the last weight is the bias."""
 
-    def __init__(self, size: int, alpha: float = 0.5, beta: float = 1.0, l1: float = 0.02, l2: float = 0.1):
+    def __init__(self, size: int, alpha: float = 4.0, beta: float = 1.0, l1: float = 0.01, l2: float = 0.01):
         self.z, self.n = np.zeros(size + 1), np.zeros(size + 1)
         self.alpha, self.beta, self.l1, self.l2 = alpha, beta, l1, l2
 
@@ -87,24 +86,22 @@ def fit(
         shuffle_order("quality", F.col(f"`{doc_id}`")).alias("_order"),
     ).where("label in (0, 1)")
     sample = wanted.orderBy("_order", "label", F.xxhash64("text")).limit(rows)
-    sample = sample.withColumn("learner", F.pmod("_order", F.lit(LEARNERS)))
     size = 1 << bits
 
-    def learn(slice_: pd.DataFrame) -> pd.DataFrame:
-        slice_ = slice_.sort_values(["_order", "label"])
-        examples = [(*features(t, bits), y) for t, y in zip(slice_["text"], slice_["label"])]
+    def learn(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["_order", "label"], kind="stable")
         model = Ftrl(size)
         for _ in range(passes):
-            for at, values, y in examples:
+            for text, y in zip(rows["text"], rows["label"]):
+                at, values = features(text, bits)
                 model.update(np.append(at, size), np.append(values, 1.0), y)
         w = model.weights(slice(None))
         used = np.flatnonzero(w)
-        return pd.DataFrame({"bucket": used, "weight": w[used], "rows": len(slice_)})
+        return pd.DataFrame({"bucket": used, "weight": w[used]})
 
-    learnt = sample.groupBy("learner").applyInPandas(learn, "bucket bigint, weight double, rows bigint")
-    summed = learnt.groupBy("bucket").agg(F.sum("weight").alias("weight")).toPandas()
+    learnt = sample.groupBy().applyInPandas(learn, "bucket bigint, weight double").toPandas()
     weights = np.zeros(size + 1)
-    weights[summed["bucket"].to_numpy(np.int64)] = summed["weight"].to_numpy() / LEARNERS
+    weights[learnt["bucket"].to_numpy(np.int64)] = learnt["weight"].to_numpy()
     return weights
 
 
@@ -112,13 +109,13 @@ def score(documents: DataFrame, weights: np.ndarray, text: str = "text") -> Data
     """``documents`` without ``text`` and with ``score``, the chance of label 1.
 
     Null texts are empty; an empty text scores by the bias alone. An empty table gives no
-    rows, rows that repeat get equal scores.
+    rows, rows that repeat get equal scores. A given column ``score`` is replaced.
     """
     bits = int(len(weights) - 1).bit_length() - 1
     shared = documents.sparkSession.sparkContext.broadcast(weights.astype(np.float32))
-    kept = [c for c in documents.columns if c != text]
-    rows = documents.select(*(F.col(f"`{c}`") for c in kept), text_or_empty(text).alias("_text"))
-    schema = rows.drop("_text").schema.add("score", "double")
+    kept = [F.col(f"`{c}`") for c in documents.columns if c not in (text, "score")]
+    rows = documents.select(*kept, text_or_empty(text))
+    schema = documents.select(*kept).schema.add("score", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = shared.value

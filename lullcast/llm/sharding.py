@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lullcast.llm.common import as_row, row_and
 from lullcast.workspace import materialize
 
 #: Ranges of the shuffle order, and of fractional ranks, that are numbered side by side.
@@ -37,12 +38,12 @@ def interleaved_shards(
     Both ranks are exact, but no source is ranked in one task: rows are numbered within
     ranges of their order, and ranges are offset by running counts. A null source is a
     source of its own, null ids come first. Rows with equal ids are ordered by ``also_by``;
-    rows equal in these too are interchangeable. An empty table gives no rows.
+    rows equal in these too are interchangeable. An empty table gives no rows. Given columns
+    ``shard`` and ``slot`` are replaced.
     """
-    names = documents.columns
-    ties = [F.col("_id"), *(F.col(f"`{c}`") for c in also_by)]
+    ties = [F.col("_id"), *(F.col(f"row.`{c}`") for c in also_by)]
     rows = documents.select(
-        *(F.col(f"`{c}`") for c in names),
+        as_row(documents),
         F.concat(F.when(F.col(f"`{source}`").isNull(), "0").otherwise("1"),
                  F.coalesce(F.col(f"`{source}`").cast("string"), F.lit(""))).alias("_source"),
         F.col(f"`{doc_id}`").alias("_id"),
@@ -86,9 +87,7 @@ def interleaved_shards(
     placed = placed.withColumn("_shard", F.expr(f"(_at * {shards}) div _all"))
     first = F.expr(f"(_shard * _all + {shards - 1}) div {shards}")
     return placed.select(
-        *(F.col(f"`{c}`") for c in names),
-        F.col("_shard").cast("int").alias("shard"),
-        (F.col("_at") - first).alias("slot"),
+        *row_and(placed, shard=F.col("_shard").cast("int"), slot=F.col("_at") - first)
     )
 
 

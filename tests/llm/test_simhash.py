@@ -1,0 +1,106 @@
+from collections import defaultdict
+from itertools import combinations
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from lullcast.llm.components import components
+from lullcast.llm.simhash import block_masks, fingerprint, links, near_groups
+
+
+def plain_fingerprint(text):
+    words = [w for w in (text or "").translate({c: c + 32 for c in range(65, 91)}).replace("\t", " ").replace("\n", " ").split(" ") if w]
+    shingles = [" ".join(words[i : i + 3]) for i in range(len(words) - 2)] or ([" ".join(words)] if words else [])
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if sum(h >> b & 1 for h in hashes) * 2 > len(hashes))
+
+
+def test_fingerprint(words):
+    for text in ["", " \t", "One", "one TWO", "a b c", "É é x Y z z z", " ".join(words(300)), "same same " * 50]:
+        assert fingerprint(text) & (1 << 64) - 1 == plain_fingerprint(text)
+
+
+def test_masks_cover_every_close_pair():
+    masks = block_masks()
+    assert len(masks) == 6
+    for pair in combinations(range(64), 2):
+        differing = sum(1 << b for b in pair)
+        assert any(not m & differing for m in masks)
+
+
+def roots_of(values, distance):
+    root = {v: v for v in values}
+
+    def find(v):
+        while root[v] != v:
+            v = root[v]
+        return v
+
+    for a, b in combinations(values, 2):
+        if (a ^ b).bit_count() <= distance:
+            x, y = sorted((find(a), find(b)))
+            root[y] = x
+    return {v: find(v) for v in values}
+
+
+@pytest.mark.parametrize("bucket", [2, 1000])
+@pytest.mark.parametrize("distance", [1, 2])
+def test_links(spark, distance, bucket):
+    r = np.random.default_rng(3)
+    values = {0}
+    for base in r.integers(0, 1 << 63, 12).tolist():
+        for _ in range(12):
+            value = base
+            for b in r.integers(0, 64, r.integers(0, 4)).tolist():
+                value ^= 1 << b
+            values.add(value)
+    signed = [v - (1 << 64) if v >> 63 else v for v in values]
+    frame = spark.createDataFrame([(v,) for v in signed], "fp bigint")
+    found = {(row.a, row.b) for row in links(frame, distance, bucket=bucket).collect()}
+    close = {(a, b) for a, b in combinations(sorted(signed), 2) if ((a ^ b) & (1 << 64) - 1).bit_count() <= distance}
+    assert found <= close
+    if bucket > 100:
+        assert found == close
+    made = components(spark.createDataFrame(list(found), "a bigint, b bigint")).collect()
+    mine = {v: v for v in signed} | {row.node: row.root for row in made}
+    unsigned = {v: v & (1 << 64) - 1 for v in signed}
+    want = roots_of(list(unsigned.values()), distance)
+    same = defaultdict(set)
+    for v in signed:
+        same[want[unsigned[v]]].add(mine[v])
+    assert all(len(s) == 1 for s in same.values())
+    assert len(set(mine.values())) == len(same)
+
+
+def test_components_of_a_path_and_a_star(spark):
+    path = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 300)] + [(7, 7)]
+    rows = components(spark.createDataFrame(path, "a bigint, b bigint")).collect()
+    assert {r.node: r.root for r in rows} == {i: 0 for i in range(61)} | {100 + i: 100 for i in range(300)}
+    assert components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
+
+
+def test_groups(documents, odd):
+    rows = near_groups(documents(odd)).collect()
+    assert len(rows) == len(odd)
+    prints = [(d, plain_fingerprint(t)) for d, t, _ in odd]
+    root = roots_of(sorted({p for _, p in prints}), 2)
+    least = {}
+    for doc, p in prints:
+        if doc is not None:
+            least[root[p]] = min(doc, least.get(root[p], doc))
+    expected = sorted((str(d), f"{p:016x}", str(least.get(root[p]))) for d, p in prints)
+    assert sorted((str(r.doc_id), r.fingerprint, str(r.component_id)) for r in rows) == expected
+
+
+def test_nothing(documents):
+    assert near_groups(documents([])).collect() == []
+
+
+def test_hot_near_copies_make_no_pairs(spark):
+    """A group of close fingerprints meets in stars: fewer links than pairs."""
+    values = [(1 << i) ^ (1 << j) for i in range(40) for j in range(i)]
+    found = links(spark.createDataFrame([(v,) for v in values], "fp bigint"))
+    assert found.count() < 60 * len(values)
+    assert components(found).select(F.count_distinct("root")).first()[0] == 1

@@ -18,6 +18,7 @@ DEFAULTS: dict = {
         "fourier": {"weekly_K": 3, "yearly_K": 10},
         "lags": [1, 2, 7, 14, 28, 365],
         "rollings": [7, 14, 28],
+        "short_history": "available",
         "intermittency": {
             "enable": True,
             "include_current": False,
@@ -34,7 +35,6 @@ DEFAULTS: dict = {
         "tail_days": 28,
         "min_positive_samples": 10,
         "min_negative_samples": 10,
-        "max_folds": None,
         "parallelism": 1,
     },
     "threshold": {"grid_start": 0.01, "grid_end": 0.99, "grid_step": 0.01},

@@ -6,11 +6,13 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.feature import StringIndexer, StringIndexerModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lullcast.functions.names import column
+from lullcast.workspace import materialize
+
 # Fixed value: the category of an unknown text value.
 MISSING = "missing"
 
@@ -19,7 +21,7 @@ def scrub(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Infinite, NaN and null numbers become 0, null text becomes ``missing``."""
     changes = {}
     for name in columns or df.columns:
-        kind, c = df.schema[name].dataType, F.col(name)
+        kind, c = df.schema[name].dataType, column(name)
         if isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType):
             finite = ~F.isnan(c) & (F.abs(c) < F.lit(math.inf))
             changes[name] = F.when(finite, c).otherwise(F.lit(0.0).cast(kind))
@@ -39,8 +41,8 @@ def column_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     facts = [F.count("*").alias("n_rows")]
     for i, name in enumerate(columns):
         facts += [
-            F.count(F.col(name)).alias(f"known_{i}"),
-            (F.min(name) < F.max(name)).alias(f"varies_{i}"),
+            F.count(column(name)).alias(f"known_{i}"),
+            (F.min(column(name)) < F.max(column(name))).alias(f"varies_{i}"),
         ]
     one_row = df.agg(*facts)
     per_column = F.array(
@@ -92,15 +94,15 @@ def class_profile(
 
     At most four rows reach the driver.
     """
-    sale = F.coalesce(F.col(target) > 0, F.lit(False)).alias("_sale")
+    sale = F.coalesce(column(target) > 0, F.lit(False)).alias("_sale")
     held_out = (F.lit(False) if validation is None else validation).alias("_held_out")
     ends = [
         c
         for i, name in enumerate(columns)
-        for c in (F.min(name).alias(f"min_{i}"), F.max(name).alias(f"max_{i}"))
+        for c in (F.min(column(name)).alias(f"min_{i}"), F.max(column(name)).alias(f"max_{i}"))
     ]
     rows = (
-        df.select(*columns, sale, held_out)
+        df.select(*map(column, columns), sale, held_out)
         .groupBy("_held_out", "_sale")
         .agg(F.count("*").alias("n"), *ends)
         .collect()
@@ -132,8 +134,8 @@ def align_features(
     df: DataFrame, features: Sequence[str], keep: Sequence[str] = ()
 ) -> DataFrame:
     """Exactly the frozen feature list, in order: absent ones 0, others dropped."""
-    aligned = [F.col(c) if c in df.columns else F.lit(0).alias(c) for c in features]
-    return df.select(*keep, *aligned)
+    aligned = [column(c) if c in df.columns else F.lit(0).alias(c) for c in features]
+    return df.select(*map(column, keep), *aligned)
 
 
 def require_same_features(first: Sequence[str], second: Sequence[str]) -> None:
@@ -141,24 +143,22 @@ def require_same_features(first: Sequence[str], second: Sequence[str]) -> None:
         raise ValueError(f"feature lists differ: {list(first)} and {list(second)}")
 
 
-def category_codes(
-    df: DataFrame, column: str, output: str, max_categories: int = 10_000
-) -> DataFrame:
-    """Codes 0, 1, … in alphabetical order, nulls as ``missing``.
+def category_codes(df: DataFrame, column_name: str, output: str) -> DataFrame:
+    """Codes 0, 1, … in the order of the values, nulls as ``missing``.
 
-    The categories travel through the driver, so their number is checked first;
-    a key with more of them stays text.
+    Values are numbered inside the ranges they were written in, and each range starts
+    where the counts of the ones before it end, so there may be any number of them.
     """
-    model = fit_category_codes(scrub(df, [column]), column, output, max_categories)
-    return model.transform(scrub(df, [column]))
-
-
-def fit_category_codes(
-    df: DataFrame, column: str, output: str, max_categories: int = 10_000
-) -> StringIndexerModel:
-    found = df.select(column).distinct().limit(max_categories + 1).count()
-    if found > max_categories:
-        raise ValueError(f"{column} has more than {max_categories} categories")
-    return StringIndexer(
-        inputCol=column, outputCol=output, stringOrderType="alphabetAsc", handleInvalid="keep"
-    ).fit(df)
+    known = scrub(df, [column_name])
+    values = known.select(column(column_name).alias("_value")).distinct()
+    ranged = values.repartitionByRange("_value").withColumn("_range", F.spark_partition_id())
+    written = materialize(ranged, "categories")
+    counts = written.groupBy("_range").agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy("_range").orderBy("_value")
+    numbered = written.withColumn("_place", F.row_number().over(inside) - 1).join(starts, "_range")
+    code = (F.col("_start") + F.col("_place")).cast("double").alias(output)
+    codes = numbered.select("_value", code)
+    coded = known.join(codes, column(column_name) == F.col("_value"))
+    return coded.select(*map(column, known.columns), column(output))

@@ -24,13 +24,13 @@ class StateSpec:
     short_history: str = "available"
 
     @classmethod
-    def from_settings(cls, cfg: dict, short_history: str = "available") -> StateSpec:
+    def from_settings(cls, cfg: dict) -> StateSpec:
         f = cfg["features"]
         return cls(
             tuple(f["lags"]),
             tuple(f["rollings"]),
             f.get("intermittency", {}).get("enable", True),
-            short_history,
+            f.get("short_history", "available"),
         )
 
     @property

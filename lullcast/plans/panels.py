@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lullcast.functions.names import column
 from lullcast.schema import PanelSchema
 
 
@@ -18,7 +19,7 @@ def daily_totals(
     The sum is combined before the shuffle, and the shuffle is by series *and* day,
     so the transactions of a busy series are spread out.
     """
-    named = [F.col(k).alias(s) for k, s in zip(keys, schema.series, strict=True)]
+    named = [column(k).alias(s) for k, s in zip(keys, schema.series, strict=True)]
     rows = df.select(*named, day.alias(schema.date), value.cast("double").alias("_value"))
     return rows.groupBy(*schema.series, schema.date).agg(F.sum("_value").alias(schema.target))
 

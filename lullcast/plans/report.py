@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lullcast.functions.calendar import report_calendar_parts
@@ -33,12 +33,14 @@ def report_table(
     valid_days: int = 28,
     tie_break: Sequence[str] | None = None,
     is_panel: bool = False,
+    last: Column | None = None,
 ) -> DataFrame:
     """``key, ds, target``, the report's features, and the ``split`` of each row.
 
     With ``tie_break`` only the first row per (key, date) is looked at, as in
     training. Without it there must be only one: else a key's windows would have no
-    bound on their rows. That is checked, unless ``is_panel`` states it.
+    bound on their rows. That is checked, unless ``is_panel`` states it. ``last`` is the
+    table's last date, if a smaller table tells it.
     """
     named = canonical_date(df, key, target, date)
     parsed = parse_dates_leniently(named, date)
@@ -50,7 +52,9 @@ def report_table(
     featured = zero_fill(report_features(parsed, schema))
     dated = featured.withColumns(report_calendar_parts(F.col(date)))
     columns = [key, date, target, *REPORT_COLUMNS]
-    return calendar_split(dated.select(*columns), date, valid_days)
+    if last is None:
+        last = parsed.select(F.max(date)).scalar()
+    return calendar_split(dated.select(*columns), date, valid_days, last=last)
 
 
 def data_report(table: DataFrame, key: str, target: str) -> tuple[DataFrame, DataFrame]:

@@ -8,6 +8,8 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from lullcast.functions.names import column
+
 # Id of a panel without key columns, and the name fragments that
 # mark a date column.
 SINGLE_SERIES = "__single__"
@@ -29,12 +31,12 @@ class PanelSchema:
 
     def partition(self) -> list[Column]:
         """Columns whose values delimit one series."""
-        return [F.col(k) for k in self.keys] or [F.lit(SINGLE_SERIES)]
+        return [column(k) for k in self.keys] or [F.lit(SINGLE_SERIES)]
 
     def by_date(self) -> WindowSpec:
         """The one window every per-series operator shares, so that a chain of
         operators needs one exchange and one sort."""
-        return Window.partitionBy(*self.partition()).orderBy(self.date)
+        return Window.partitionBy(*self.partition()).orderBy(column(self.date))
 
     def with_series(self, *series: str) -> PanelSchema:
         return replace(self, series=tuple(series))

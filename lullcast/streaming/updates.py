@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import datetime
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -29,37 +31,63 @@ def output_ddl(schema: PanelSchema, spec: StateSpec, key_types: dict[str, str])
 def feature_names(spec: StateSpec) -> list[str]:
     names = [f"lag_{n}" for n in spec.lags]
     names += [f"roll_{s}_{n}" for n in spec.windows for s in ("mean", "std", "min", "max")]
-    names += ["days_since_last_sale", "rolling_zero_count_7d", "avg_interdemand_interval"]
+    if spec.intermittency:
+        names += ["days_since_last_sale", "rolling_zero_count_7d", "avg_interdemand_interval"]
     return names
 
 
-def _features(hist: list[float], ring: list[float], spec: StateSpec) -> list[float]:
-    values = np.asarray(hist, dtype=float)
+def _ending_at(values: np.ndarray, n: int, count: int, before: float) -> np.ndarray:
+    """For each of the last ``count`` values the ``n`` values that end with it."""
+    filled = np.concatenate((np.full(n + count, before), values))
+    return sliding_window_view(filled, n)[-count:]
+
+
+def _statistics(windows: np.ndarray) -> list[np.ndarray]:
+    """Mean, sample deviation, least and largest of the known values; 0 if none is."""
+    known = ~np.isnan(windows)
+    n = known.sum(axis=1)
+    mean = np.where(known, windows, 0.0).sum(axis=1) / np.maximum(n, 1)
+    squares = np.where(known, (windows - mean[:, None]) ** 2, 0.0).sum(axis=1)
+    deviation = np.sqrt(squares / np.maximum(n - 1, 1))
+    least = np.where(known, windows, np.inf).min(axis=1)
+    most = np.where(known, windows, -np.inf).max(axis=1)
+    return [np.where(n > 0, v, 0.0) for v in (mean, deviation, least, most)]
+
+
+def _rings(ring: np.ndarray, new: np.ndarray) -> np.ndarray:
+    """Days since the last sale after each of the ``new`` values, behind the earlier ones."""
+    place = np.arange(1, len(new) + 1)
+    last_sale = np.maximum.accumulate(np.where(new > 0, place, 0))
+    before = ring[-1] if len(ring) else 0.0
+    since = np.where(last_sale > 0, place - last_sale, before + place)
+    return np.concatenate((ring, since.astype(float)))
+
+
+def _features(values: np.ndarray, rings: np.ndarray, count: int, spec: StateSpec) -> list[np.ndarray]:
+    """A column per feature, for the last ``count`` values."""
     filled = np.nan_to_num(values)
-    out = [filled[-n] if len(filled) >= n else 0.0 for n in spec.lags]
+    out = [_ending_at(filled, n, count, 0.0)[:, 0] for n in spec.lags]
     for n in spec.windows:
-        known = values[-n:][~np.isnan(values[-n:])]
-        if len(known) == 0:
-            out += [0.0] * 4
-            continue
-        deviation = known.std(ddof=1) if len(known) > 1 else 0.0
-        out += [known.mean(), deviation, known.min(), known.max()]
-    out += [ring[-1], float((filled[-ZERO_COUNT_ROWS:] == 0).sum()), float(np.mean(ring))]
-    return [float(v) for v in out]
+        out += _statistics(_ending_at(values, n, count, np.nan))
+    if spec.intermittency:
+        recent = _ending_at(np.where(np.isnan(values), 0.0, values), ZERO_COUNT_ROWS, count, np.nan)
+        out += [rings[-count:], (recent == 0).sum(axis=1).astype(float)]
+        out.append(np.nanmean(_ending_at(rings, INTERVAL_ROWS, count, np.nan), axis=1))
+    return out
 
 
 def _first_per_day(
     chunks: Iterator[pd.DataFrame], schema: PanelSchema
-) -> tuple[dict[int, float], int]:
-    """Day number to value, and how many rows repeat a day. The first to arrive stays,
+) -> tuple[pd.Series, int]:
+    """Values by day, sorted, and how many rows repeat a day. The first to arrive stays,
     so the group's memory is bounded by its days, not by its rows."""
-    found: dict[int, float] = {}
-    n_rows = 0
+    found, n_rows = pd.Series(dtype=float), 0
     for chunk in chunks:
         n_rows += len(chunk)
-        for day, y in zip(chunk[schema.date], chunk[schema.target], strict=True):
-            found.setdefault((day - EPOCH).days, float("nan") if pd.isna(y) else float(y))
-    return found, n_rows - len(found)
+        new = pd.Series(chunk[schema.target].to_numpy(float, na_value=np.nan), chunk[schema.date])
+        both = new if found.empty else pd.concat([found, new])
+        found = both[~both.index.duplicated()]
+    return found.sort_index(), n_rows - len(found)
 
 
 def stream_features(
@@ -67,8 +95,9 @@ def stream_features(
 ) -> DataFrame:
     """For each observation the features of the following row.
 
-    Rows may arrive in any order inside a micro-batch and are applied by date. A row
-    whose date is not after the series' last one is ignored and counted.
+    Rows may arrive in any order inside a micro-batch and are applied by date, all of a
+    series at once. A row whose date is not after the series' last one is ignored and
+    counted.
     """
     spec = spec or StateSpec()
     key_types = {k: rows.schema[k].dataType.simpleString() for k in schema.keys}
@@ -77,25 +106,26 @@ def stream_features(
     def update(
         key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
+        # Spark joins its own empty frames to what a group yields, of which pandas warns
+        warnings.filterwarnings("ignore", "The behavior of DataFrame concatenation", FutureWarning)
         last, n_obs, ignored, hist, ring = -(2**31), 0, 0, [], []
         if state.exists:
             last, n_obs, ignored, hist, ring = state.get
-            hist, ring = list(hist), list(ring)
-        out = []
         found, n_repeated = _first_per_day(chunks, schema)
-        ignored += n_repeated
-        for day in sorted(found):
-            if day <= last:
-                ignored += 1
-                continue
-            y, last, n_obs = found[day], day, n_obs + 1
-            hist = [*hist, y][-spec.tail_rows :]
-            previous = ring[-1] if ring else 0.0
-            ring = [*ring, 0.0 if y > 0 else previous + 1.0][-INTERVAL_ROWS:]
-            date = EPOCH + datetime.timedelta(days=day)
-            out.append([*key, date, n_obs, ignored, *_features(hist, ring, spec)])
-        state.update((last, n_obs, ignored, [float(v) for v in hist], ring))
-        yield pd.DataFrame(out, columns=names)
+        newest = EPOCH + datetime.timedelta(days=last) if state.exists else None
+        new = found if newest is None else found[found.index > newest]
+        ignored += n_repeated + len(found) - len(new)
+        values = np.concatenate((np.asarray(hist, float), new.to_numpy(float)))
+        rings = _rings(np.asarray(ring, float), new.to_numpy(float))
+        if count := len(new):
+            last = (new.index[-1] - EPOCH).days
+            columns = _features(values, rings, count, spec)
+            seen = np.arange(n_obs + 1, n_obs + count + 1)
+            fixed = [np.full(count, k) for k in key] + [new.index, seen, np.full(count, ignored)]
+            yield pd.DataFrame(dict(zip(names, [*fixed, *columns], strict=True)))
+        n_obs += count
+        hist = values[-spec.tail_rows :].tolist()
+        state.update((last, n_obs, ignored, hist, rings[-INTERVAL_ROWS:].tolist()))
 
     return rows.groupBy(*schema.keys).applyInPandasWithState(
         update,

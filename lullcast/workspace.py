@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -15,7 +16,7 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     app = spark.sparkContext.applicationId
     if app not in _local_folders:
@@ -42,27 +43,36 @@ def materialize(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path).select(df.columns)
 
 
-def materialize_by_series(df: DataFrame, label: str, keys: list[str], date: str) -> DataFrame:
+def materialize_by_series(
+    df: DataFrame, label: str, keys: list[str], date: str, buckets: int | None = None
+) -> DataFrame:
     """Write ``df`` bucketed by series, so that no later per-series job shuffles it.
 
-    Bucketing needs a catalogue entry, named after the folder; ``forget`` removes it.
+    A bucket is read by one task whatever its size: give as many ``buckets`` as keep
+    each below some hundred megabytes. By default there are four per core.
+    Bucketing needs a catalogue entry, named after the folder; ``discard`` removes it.
     """
     if not keys:
         return materialize(df, label)
     path = new_path(df.sparkSession, label)
-    name = _table_name(path)
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = buckets or 4 * df.sparkSession.sparkContext.defaultParallelism
     writer = df.repartition(n, *keys).write.bucketBy(n, *keys).sortBy(*keys, date)
-    writer.option("path", path).saveAsTable(name, format="parquet")
-    return df.sparkSession.table(name)
+    writer.option("path", path).saveAsTable(_table_name(path), format="parquet")
+    return df.sparkSession.table(_table_name(path))
 
 
 def _table_name(path: str) -> str:
     return "lullcast_" + path.rsplit("/", 1)[-1].replace("-", "_")
 
 
-def forget(spark: SparkSession, df: DataFrame) -> None:
-    """Drop the catalogue entry of a bucketed table; its files stay."""
-    folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
-    for folder in folders:
-        spark.sql(f"DROP TABLE IF EXISTS {_table_name(folder)}")
+def discard(spark: SparkSession, *tables: DataFrame) -> None:
+    """Delete tables that ``materialize`` and its like have written, files and catalogue
+    entries; nothing outside the shared folder."""
+    shared = shared_folder(spark)
+    bare = shared.removeprefix("file:").lstrip("/")
+    files = [f for df in tables for f in df.inputFiles() if f"{bare}/" in f]
+    for name in {f.split(f"{bare}/", 1)[1].split("/", 1)[0] for f in files}:
+        if re.fullmatch(r"[\w-]+", name):
+            spark.sql(f"DROP TABLE IF EXISTS {_table_name(name)}")
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared}/{name}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

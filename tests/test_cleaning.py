@@ -115,9 +115,11 @@ def test_alignment(spark):
         matrix.require_same_features(["a"], ["b"])
 
 
-def test_category_codes_refuse_to_grow(spark):
+def test_category_codes(spark):
     df = spark.createDataFrame([("b",), ("a",), (None,)], "k string")
     codes = {r.k: r.code for r in matrix.category_codes(df, "k", "code").collect()}
     assert codes == {"a": 0.0, "b": 1.0, "missing": 2.0}
-    with pytest.raises(ValueError, match="more than 1"):
-        matrix.category_codes(df, "k", "code", max_categories=1)
+    many = spark.range(30_000).select(F.format_string("%08d", F.col("id") * 7919 % 30_000).alias("a.k"))
+    coded = matrix.category_codes(many.repartition(5), "a.k", "code")
+    assert coded.filter(F.col("`a.k`").cast("double") != F.col("code")).count() == 0
+    assert coded.count() == 30_000

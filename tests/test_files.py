@@ -48,7 +48,7 @@ def test_submission_round_trip(spark, tmp_path):
     source.write_bytes(BOM + "영업일자,메뉴 A,B\nTEST_00+1,,x\nTEST_00+2,NaN,\"q\"\"r, s\"\n".encode())
     template = read_template(spark, str(source))
     assert template.columns == ["영업일자", "메뉴 A", "B", "_row"]
-    write_submission(template, template.columns[:-1], str(tmp_path / "out"))
+    write_submission(template, template.columns[:-1], str(tmp_path / "out"), single_file=True)
     written = one_file(tmp_path / "out")
     assert written.splitlines()[0] == source.read_bytes().splitlines()[0]
     back = read_template(spark, str(tmp_path / "out"))
@@ -56,8 +56,7 @@ def test_submission_round_trip(spark, tmp_path):
     assert [tuple(r)[:3] for r in back.collect()] == [("TEST_00+1", None, "x"), ("TEST_00+2", None, 'q"r, s')]
 
 
-def test_submission_order_in_several_parts(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr("lullcast.sources.writers.SINGLE_FILE_ROWS", 10)
+def test_submission_order_in_several_parts(spark, tmp_path):
     df = spark.range(500).select(F.col("id").cast("string").alias("id"), F.col("id").alias("_row"))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     write_submission(df.repartition(7), ["id"], str(tmp_path / "out"))
@@ -110,7 +109,7 @@ CFG = settings(
     {
         "model": {"classifier": {"maxIter": 2, "maxDepth": 2}, "regressor": {"maxIter": 2, "maxDepth": 2}},
         "features": {"lags": [1, 7], "rollings": [7], "fourier": {"weekly_K": 1, "yearly_K": 0}},
-        "cv": {"horizon": 2, "init_train_ratio": 0.9, "min_positive_samples": 3, "max_folds": 1},
+        "cv": {"horizon": 2, "init_train_ratio": 0.9, "min_positive_samples": 3},
     }
 )
 
@@ -127,7 +126,7 @@ def csv_rows(names, days):
 @pytest.fixture(scope="module")
 def trained(spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp("job")
-    (folder / "train.csv").write_text(csv_rows(["s 1", "s 2"], 60), encoding="utf-8")
+    (folder / "train.csv").write_text(csv_rows([f"s {k}" for k in range(1, 13)], 60), encoding="utf-8")
     panel, roles = read_panel(spark, str(folder / "train.csv"), CFG)
     train(panel, roles, CFG, str(folder / "model"))
     return folder
@@ -138,7 +137,7 @@ def test_predict_fills_a_row_key_template(spark, trained, tmp_path):
         (tmp_path / f"TEST_0{k}.csv").write_text(csv_rows(["s 1", "s 2"], 30 + k), encoding="utf-8")
     template = tmp_path / "sample.csv"
     template.write_bytes(BOM + "영업일자,s 1,s 2,s 3\nTEST_01+2일,,,5\nTEST_00+1일,0,0,0\nTEST_00+3일,0,0,0\n".encode())
-    predict(spark, str(trained / "model"), str(tmp_path), str(template), str(tmp_path / "out"), CFG)
+    predict(spark, str(trained / "model"), str(tmp_path), str(template), str(tmp_path / "out"), CFG, single_file=True)
     lines = one_file(tmp_path / "out").decode("utf-8-sig").splitlines()
     assert lines[0] == "영업일자,s 1,s 2,s 3"
     cells = [line.split(",") for line in lines[1:]]

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.ml.feature import StringIndexerModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from lullcast.functions import arrays
 from lullcast.functions.calendar import (
-    CALENDAR_CATEGORIES,
     cyclic_parts,
     date_flags,
     date_parts,
@@ -17,6 +16,7 @@ from lullcast.functions.calendar import (
     report_calendar_parts,
 )
 from lullcast.operators.forecast import attach_future_calendar, future_calendar
+from lullcast.operators.models import fit_regressor, model_input
 from lullcast.operators.state import StateSpec, series_state
 from lullcast.operators.submission import parse_row_keys
 from workload.registry import (
@@ -96,13 +96,12 @@ def calendar_flags(spark, sf_dir):
 )
 def calendar_categories(spark, sf_dir):
     rows = order_days(spark, sf_dir).withColumns(date_parts(F.col("ds")))
-    model = StringIndexerModel.from_arrays_of_labels(
-        [[str(v) for v in CALENDAR_CATEGORIES[c]] for c in ("dow", "week")],
-        inputCols=["dow", "week"],
-        outputCols=["dow_code", "week_code"],
-        handleInvalid="keep",
-    )
-    return model.transform(rows).select("o_orderkey", "dow_code", "week_code")
+    priced = rows.join(table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), "o_orderkey")
+    names = ["dow", "week"]
+    fitted = fit_regressor(priced, "o_totalprice", names, names, params={"maxIter": 1})
+    coded, vector = model_input(fitted, rows)
+    codes = coded.select("o_orderkey", vector_to_array(vector).alias("v"))
+    return codes.select("o_orderkey", F.col("v")[0].alias("dow_code"), F.col("v")[1].alias("week_code"))
 
 
 ORDER_ORIGIN = "(SELECT min(CAST(o_orderdate AS DATE)) FROM orders)"

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lullcast.config import settings
 from lullcast.operators.windows import lag_features
-from lullcast.schema import PanelSchema
+from lullcast.operators.models import fit_classifier, fit_regressor
+from lullcast.plans.training import scorer_from
 from lullcast.sources.readers import read_batches, read_template
 from lullcast.sources.store import (
     MONTH,
@@ -20,29 +20,25 @@ from lullcast.sources.writers import write_submission
 from lullcast.workspace import new_path
 from workload.dates import columns
 from workload.registry import (
+    BATCH_CFG,
     CFG,
     SUPPLIER,
     SUPPLIER_SQL,
     case,
+    rounded,
+    six,
     supplier_panel,
     table,
 )
+from workload.models import CHANCE, ONE_TREE, WEEKDAYS, weekday_rows
 from workload.windows import BY_ID, lag_sql
 
-BATCH_CFG = settings(
-    {
-        "data": {
-            "date_col_candidates": ["day"],
-            "target_col_candidates": ["sold"],
-            "id_cols": ["shop", "menu"],
-        }
-    }
-)
+BATCH_STEMS = ("TEST_00", "TEST_0 1", "TEST_0+2%20")
 
 
 @case(
     """
-    SELECT 'TEST_' || lpad(CAST(user_id % 3 AS VARCHAR), 2, '0') AS test_name,
+    SELECT ['TEST_00', 'TEST_0 1', 'TEST_0+2%20'][CAST(user_id % 3 AS INTEGER) + 1] AS test_name,
            CAST(user_id AS VARCHAR) || '__' || event_type || '_x' AS id,
            CAST(ts AS DATE) AS day,
            CAST(count(*) AS DOUBLE) AS sold
@@ -57,7 +53,7 @@ def batch_files(spark, sf_dir):
     ).agg(F.count("*").alias("sold"))
     for k in range(3):
         batch = days.filter(F.col("shop") % 3 == k)
-        batch.write.option("header", True).csv(f"{folder}/TEST_{k:02d}.csv")
+        batch.write.option("header", True).csv(f"{folder}/{BATCH_STEMS[k]}.csv")
     panel, _ = read_batches(
         spark, folder, BATCH_CFG, "shop bigint, menu string, day string, sold bigint"
     )
@@ -97,23 +93,30 @@ def cached_feature_table(spark, sf_dir):
 
 
 @case(
-    """
-    SELECT 'ts' AS date_name, 'value' AS target_name, 'user_id' AS series_name,
-           CAST(0.37 AS DOUBLE) AS threshold, CAST(count(DISTINCT event_type) AS INTEGER) AS n_features,
-           min(CAST(ts AS DATE)) AS origin
-    FROM events
+    f"""
+    WITH {SUPPLIER_SQL}, {WEEKDAYS}
+    SELECT dow, {six(CHANCE)} AS p, {six("amount")} AS q, 'ds' AS date_name, 'y' AS target_name,
+           'id' AS series_name, CAST(0.37 AS DOUBLE) AS threshold, CAST(1 AS INTEGER) AS n_features,
+           (SELECT min(ds) FROM panel) AS origin
+    FROM groups
     """
 )
 def artifact_facts(spark, sf_dir):
+    """Two fitted models, saved, loaded, and asked for every weekday."""
     path = new_path(spark, "artifacts")
-    events = table(spark, sf_dir, "events")
-    kinds = [r[0] for r in events.select("event_type").distinct().collect()]
-    first = events.select(F.min(F.to_date("ts"))).first()[0]
-    roles = PanelSchema("ts", "value", ("user_id",))
-    made = Artifacts(roles, CFG, sorted(kinds), [], 0.37, str(first))
+    rows = weekday_rows(spark, sf_dir)
+    classifier = fit_classifier(rows, "y", ["dow"], ["dow"], params=ONE_TREE)
+    regressor = fit_regressor(rows, "y", ["dow"], ["dow"], params=ONE_TREE)
+    first = rows.select(F.min("ds")).first()[0]
+    made = Artifacts(
+        SUPPLIER, CFG, ["dow"], ["dow"], 0.37, str(first),
+        classifier=classifier.model, regressor=regressor.model, regressor_features=["dow"],
+    )
     save_artifacts(spark, made, path)
     back = load_artifacts(spark, path)
-    return events.agg(F.count("*").alias("n")).select(
+    scored = scorer_from(back).score(rows.select("dow").distinct())
+    return rounded(scored, "p", "q").select(
+        "dow", "p", "q",
         F.lit(back.schema.date).alias("date_name"),
         F.lit(back.schema.target).alias("target_name"),
         F.lit(back.schema.series[0]).alias("series_name"),
@@ -121,5 +124,3 @@ def artifact_facts(spark, sf_dir):
         F.lit(len(back.features)).alias("n_features"),
         F.lit(back.origin).cast("date").alias("origin"),
     )
-
-

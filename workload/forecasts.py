@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from lullcast.config import settings
@@ -23,7 +25,7 @@ from lullcast.operators.state import (
 from lullcast.operators.submission import fill_by_id, fill_by_row_key
 from lullcast.schema import PanelSchema
 from lullcast.streaming.updates import stream_features
-from lullcast.workspace import new_path
+from lullcast.workspace import materialize, new_path
 from workload.dates import columns
 from workload.registry import (
     CFG,
@@ -32,6 +34,8 @@ from workload.registry import (
     USER,
     USER_SQL,
     case,
+    last_event_day,
+    last_ship_day,
     rounded,
     six,
     supplier_panel,
@@ -44,10 +48,17 @@ SPEC = StateSpec()
 THRESHOLD = 0.2
 
 
-def recursion_sql(horizon: int, threshold: float, source: str = "panel") -> str:
+PADDED = "list_concat(list_transform(range({n}), lambda x: CAST(0 AS DOUBLE)), {values})"
+
+
+def recursion_sql(
+    horizon: int, threshold: float, source: str = "panel", padded: bool = False
+) -> str:
     """CTEs ``step0 … stepH``: the last 28 values as a list that each forecast joins."""
+    values = "list(y ORDER BY ds)"
+    values = PADDED.format(n=28, values=values) if padded else values
     parts = [
-        f"""step0 AS (SELECT id, max(ds) AS last_ds, list(y ORDER BY ds)[-28:] AS h
+        f"""step0 AS (SELECT id, max(ds) AS last_ds, ({values})[-28:] AS h
             FROM {source} GROUP BY id)"""
     ]
     for k in range(1, horizon + 1):
@@ -129,10 +140,8 @@ CUT = "(SELECT max(ds) - 7 FROM panel)"
     """
 )
 def forecasts_with_truth(spark, sf_dir):
-    panel = supplier_panel(spark, sf_dir)
-    cut = F.date_sub(
-        table(spark, sf_dir, "lineitem").select(F.max(F.to_date("l_shipdate"))).scalar(), 7
-    )
+    panel = materialize(supplier_panel(spark, sf_dir), "panel")
+    cut = F.date_sub(last_ship_day(spark, sf_dir), 7)
     past, ahead = panel.filter(F.col("ds") <= cut), panel.filter(F.col("ds") > cut)
     forecast = forecast_long(rule_forecast(past, SUPPLIER), SUPPLIER, 7)
     truth = first_steps(ahead, SUPPLIER, 7)
@@ -172,6 +181,36 @@ def next_step_features(spark, sf_dir):
     return rounded(step_features(state, SPEC), *ROUNDED_STEP).drop("hist", "ring")
 
 
+NEXT_PADDED_ROW = NEXT_ROW.replace(
+    "list(y ORDER BY ds)", PADDED.format(n=366, values="list(y ORDER BY ds)")
+).replace("list(since ORDER BY ds)", PADDED.format(n=28, values="list(since ORDER BY ds)"))
+ZERO_PAD = settings({"features": {"short_history": "zero_pad"}})
+SHORT = "short AS (SELECT * FROM panel WHERE ds > (SELECT max(ds) FROM panel) - CAST(10 + id % 5 AS INTEGER))"
+
+
+def short_panel(spark, sf_dir):
+    """10 to 14 days per user, fewer than the longest window."""
+    last = last_event_day(spark, sf_dir)
+    days = (F.lit(10) + F.col("id") % 5).cast("int")
+    return user_panel(spark, sf_dir).filter(F.date_diff(last, F.col("ds")) < days)
+
+
+@case(f"WITH {USER_SQL}, {SHORT}, since AS ({since_sql('0', 'short')}) {NEXT_PADDED_ROW}")
+def padded_step_features(spark, sf_dir):
+    spec = StateSpec.from_settings(ZERO_PAD)
+    state = series_state(short_panel(spark, sf_dir), USER, spec)
+    return rounded(step_features(state, spec), *ROUNDED_STEP).drop("hist", "ring")
+
+
+@case(
+    f"WITH {USER_SQL}, {SHORT}, {recursion_sql(7, THRESHOLD, 'short', padded=True)} {long_sql(7)}"
+)
+def padded_rule_forecast(spark, sf_dir):
+    panel = short_panel(spark, sf_dir)
+    forecast = recursive_forecast(panel, USER, RuleScorer(), THRESHOLD, ZERO_PAD)
+    return rounded(forecast_long(forecast, USER, 7), "yhat", "p", "q")
+
+
 @case(f"WITH {USER_SQL}, since AS ({since_sql('0')}) {NEXT_ROW}")
 def updated_features(spark, sf_dir):
     panel = user_panel(spark, sf_dir)
@@ -235,14 +274,23 @@ def filled_template(spark, sf_dir):
     return fill_by_id(template, wide)
 
 
-KINDS = {" click ": "click", "log　in": "log_in", "view": "view", "other": "other"}
+KINDS = {
+    " click ": "click", "sign　up.1": "sign_up.1", "view": "view", "err`or ": "err`or",
+    "purchase 1.5L": "purchase_1.5L", "other": "other",
+}
+#: How the events' types are named in the forecasts.
+NAMES = {"signup": "sign_up.1", "error": "err`or", "purchase": "purchase_1.5L"}
+NAMED_TYPE = "CASE event_type " + " ".join(
+    f"WHEN '{kind}' THEN '{name}'" for kind, name in NAMES.items()
+) + " ELSE event_type END"
 BATCH_SQL = "'TEST_' || lpad(CAST(user_id % 10 AS VARCHAR), 2, '0')"
 
 
 @case(
     f"""
     WITH base AS (
-      SELECT {BATCH_SQL} AS test_name, CAST(day(ts) AS INTEGER) AS step, event_type FROM events),
+      SELECT {BATCH_SQL} AS test_name, CAST(day(ts) AS INTEGER) AS step,
+        {NAMED_TYPE} AS event_type FROM events),
     hits AS (
       SELECT test_name, step, event_type, CAST(count(*) AS DOUBLE) AS yhat FROM base
       WHERE step <= 7 GROUP BY 1, 2, 3),
@@ -259,7 +307,7 @@ def filled_row_keys(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     batch = F.concat(F.lit("TEST_"), F.lpad((F.col("user_id") % 10).cast("string"), 2, "0"))
     base = events.select(
-        batch.alias("test_name"), F.dayofmonth("ts").alias("step"), F.col("event_type").alias("id")
+        batch.alias("test_name"), F.dayofmonth("ts").alias("step"), F.expr(NAMED_TYPE).alias("id")
     )
     predictions = (
         base.filter("step <= 7")
@@ -279,7 +327,7 @@ STREAM_NAMES = ["roll_mean_7", "roll_std_7", "roll_mean_14", "roll_std_14"]
 STREAM_NAMES += ["avg_interdemand_interval"]
 
 
-def _stream_sql() -> str:
+def _stream_sql(intermittency: bool = True) -> str:
     w = "(PARTITION BY id ORDER BY ds ROWS BETWEEN {} PRECEDING AND CURRENT ROW)"
     out = {f"lag_{n}": f"coalesce(lag(y, {n - 1}) OVER v, {ZERO})" for n in STREAM_SPEC.lags}
     for n in STREAM_SPEC.windows:
@@ -288,6 +336,8 @@ def _stream_sql() -> str:
         out[f"roll_std_{n}"] = six(f"coalesce(stddev_samp(y) OVER {frame}, 0)")
         out[f"roll_min_{n}"] = f"min(y) OVER {frame}"
         out[f"roll_max_{n}"] = f"max(y) OVER {frame}"
+    if not intermittency:
+        return columns(out)
     out["days_since_last_sale"] = "since"
     out["rolling_zero_count_7d"] = (
         f"sum(CASE WHEN y = 0 THEN {ZERO} + 1 ELSE {ZERO} END) OVER {w.format(6)}"
@@ -304,11 +354,27 @@ def _stream_sql() -> str:
     """
 )
 def streamed_features(spark, sf_dir):
+    return rounded(_streamed(spark, sf_dir, STREAM_SPEC), *STREAM_NAMES)
+
+
+@case(
+    f"""
+    WITH {USER_SQL}, s AS ({since_sql('0')})
+    SELECT id, ds, rn AS n_obs, CAST(0 AS BIGINT) AS n_ignored, {_stream_sql(False)}
+    FROM s WINDOW v AS (PARTITION BY id ORDER BY ds)
+    """
+)
+def streamed_lags_and_windows(spark, sf_dir):
+    spec = replace(STREAM_SPEC, intermittency=False)
+    return rounded(_streamed(spark, sf_dir, spec), *STREAM_NAMES[:-1])
+
+
+def _streamed(spark, sf_dir, spec):
     source, out, marks = (new_path(spark, f"stream-{n}") for n in ("in", "out", "marks"))
     user_panel(spark, sf_dir).write.parquet(source)
     rows = spark.readStream.schema("id bigint, ds date, y double").parquet(source)
     query = (
-        stream_features(rows, USER, STREAM_SPEC)
+        stream_features(rows, USER, spec)
         .writeStream.format("parquet")
         .option("path", out)
         .option("checkpointLocation", marks)
@@ -316,7 +382,7 @@ def streamed_features(spark, sf_dir):
         .start()
     )
     query.awaitTermination()
-    return rounded(spark.read.parquet(out), *STREAM_NAMES)
+    return spark.read.parquet(out)
 
 
 BATCHED = PanelSchema("ds", "y", ("id",), "test_name")

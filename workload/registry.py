@@ -27,6 +27,15 @@ SUPPLIER = PanelSchema("ds", "y", ("id",))
 USER = PanelSchema("ds", "y", ("id",))
 USER_TYPE = PanelSchema("ds", "y", ("user_id", "event_type"))
 CFG = settings()
+BATCH_CFG = settings(
+    {
+        "data": {
+            "date_col_candidates": ["day"],
+            "target_col_candidates": ["sold"],
+            "id_cols": ["shop", "menu"],
+        }
+    }
+)
 
 
 def case(sql: str | None = None) -> Callable[[Query], Query]:
@@ -75,6 +84,19 @@ def first_ship_day(spark: SparkSession, sf_dir: str) -> Column:
     return table(spark, sf_dir, "lineitem").select(F.min(ship_day())).scalar()
 
 
+def ship_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every shipment's day, the narrow side of the supplier panel."""
+    return table(spark, sf_dir, "lineitem").select(ship_day().alias("ds"))
+
+
+def last_ship_day(spark: SparkSession, sf_dir: str) -> Column:
+    return table(spark, sf_dir, "lineitem").select(F.max(ship_day())).scalar()
+
+
+def last_event_day(spark: SparkSession, sf_dir: str) -> Column:
+    return table(spark, sf_dir, "events").select(F.max(F.to_date("ts"))).scalar()
+
+
 def cents() -> Column:
     return F.round(F.col("value") * 100)
 

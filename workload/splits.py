@@ -13,15 +13,21 @@ from lullcast.operators.windows import (
     rolling_features,
 )
 from lullcast.plans.report import data_report, report_table
-from lullcast.workspace import materialize
+from lullcast.sources.readers import read_batches
+from lullcast.workspace import materialize, new_path
 from workload.registry import (
+    BATCH_CFG,
     CFG,
     SUPPLIER,
     SUPPLIER_SQL,
     USER,
     USER_SQL,
     case,
+    cents,
+    last_event_day,
+    last_ship_day,
     rounded,
+    ship_days,
     six,
     supplier_panel,
     table,
@@ -88,7 +94,8 @@ def fold_rows(spark, sf_dir):
     """
 )
 def tail_split(spark, sf_dir):
-    return folds.tail_split(supplier_panel(spark, sf_dir), "ds", 28).drop("y")
+    start = folds.calendar_tail_start(ship_days(spark, sf_dir), "ds", 28)
+    return folds.tail_split(supplier_panel(spark, sf_dir), "ds", 28, start=start).drop("y")
 
 
 @case(
@@ -100,7 +107,7 @@ def tail_split(spark, sf_dir):
 )
 def calendar_split(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_id", F.to_date("ts").alias("ds"))
-    return folds.calendar_split(events, "ds", 7).drop("ds")
+    return folds.calendar_split(events, "ds", 7, last=last_event_day(spark, sf_dir)).drop("ds")
 
 
 @case(
@@ -114,7 +121,8 @@ def calendar_split(spark, sf_dir):
     """
 )
 def leakage_check(spark, sf_dir):
-    marked = folds.tail_split(supplier_panel(spark, sf_dir), "ds", 28)
+    start = folds.calendar_tail_start(ship_days(spark, sf_dir), "ds", 28)
+    marked = folds.tail_split(supplier_panel(spark, sf_dir), "ds", 28, start=start)
     return folds.leakage_report(marked, "ds", "is_validation", "id")
 
 
@@ -166,7 +174,7 @@ def series_gates(spark, sf_dir):
         ORDER BY md5(CAST(id AS VARCHAR) || '|' || CAST(ds AS VARCHAR)), id, ds) - 1 AS i
       FROM panel WHERE y > 0),
     draws AS (
-      SELECT CAST(concat('0x', substr(md5('42:' || CAST(k AS VARCHAR)), 1, 8)) AS BIGINT)
+      SELECT CAST(concat('0x', substr(md5('42:' || CAST(k AS VARCHAR)), 1, 15)) AS BIGINT)
              % (SELECT pos FROM n) AS i
       FROM generate_series(0, (SELECT CAST(ceil(CAST(0.3 AS DOUBLE) * total) AS BIGINT) - pos - 1
                                FROM n)) g(k))
@@ -197,27 +205,25 @@ def wide_steps(spark, sf_dir):
 
 @case(
     """
-    SELECT name AS test_name, user_id AS id, y FROM (
-      SELECT 'TEST_00' AS name, user_id, sum(round(value * 100)) AS y FROM events
-      WHERE event_type = 'click' GROUP BY 2
-      UNION ALL
-      SELECT 'TEST_01', user_id, sum(round(value * 100)) FROM events
-      WHERE event_type = 'view' GROUP BY 2)
+    SELECT 'TEST_' || event_type AS test_name, CAST(user_id AS VARCHAR) AS id,
+           CAST(ts AS DATE) AS day, greatest(sum(round(value * 100)), 0) AS y
+    FROM events GROUP BY 1, 2, 3
     """
 )
 def united_batches(spark, sf_dir):
-    events = table(spark, sf_dir, "events")
-    named = (("TEST_00", "click"), ("TEST_01", "view"))
-    first, second = (
-        events.filter(F.col("event_type") == kind)
-        .groupBy(F.lit(name).alias("test_name"), F.col("user_id").alias("id"))
-        .agg(F.sum(F.round(F.col("value") * 100)).alias("y"))
-        for name, kind in named
-    )
-    return first.unionByName(second)
+    """One batch file per event type, written and read as one panel."""
+    folder = new_path(spark, "batches")
+    days = table(spark, sf_dir, "events").groupBy(
+        F.col("user_id").alias("shop"), F.to_date("ts").alias("day"), "event_type"
+    ).agg(F.sum(cents()).cast("bigint").alias("sold"))
+    for r in days.select("event_type").distinct().collect():
+        batch = days.filter(F.col("event_type") == r[0]).drop("event_type")
+        batch.write.option("header", True).csv(f"{folder}/TEST_{r[0]}.csv")
+    panel, _ = read_batches(spark, folder, BATCH_CFG, "shop bigint, day string, sold bigint")
+    return panel.select("test_name", "id", "day", F.col("sold").alias("y"))
 
 
-TYPES = ("click", "error", "login", "purchase", "view")
+TYPES = ("click", "error", "purchase", "signup", "view")
 
 
 @case(
@@ -234,7 +240,7 @@ def wide_by_date(spark, sf_dir):
     counts = events.groupBy(F.to_date("ts").alias("ds"), "event_type").agg(
         F.count("*").alias("n")
     )
-    return reshape.wide_by_date(counts, "ds", "event_type", "n", TYPES)
+    return reshape.wide_by_date(counts, "ds", "event_type", "n")
 
 
 PAIRS = f"""
@@ -353,7 +359,7 @@ def prediction_check(spark, sf_dir):
 )
 def data_report_by_split(spark, sf_dir):
     panel = supplier_panel(spark, sf_dir)
-    splits, _ = data_report(report_table(panel, "id", "y", is_panel=True), "id", "y")
+    splits, _ = data_report(report_table(panel, "id", "y", is_panel=True, last=last_ship_day(spark, sf_dir)), "id", "y")
     return rounded(splits, "y_var")
 
 
@@ -369,4 +375,4 @@ def data_report_by_split(spark, sf_dir):
 )
 def data_report_finite(spark, sf_dir):
     panel = supplier_panel(spark, sf_dir)
-    return data_report(report_table(panel, "id", "y", is_panel=True), "id", "y")[1]
+    return data_report(report_table(panel, "id", "y", is_panel=True, last=last_ship_day(spark, sf_dir)), "id", "y")[1]

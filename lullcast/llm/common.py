@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from lullcast.workspace import materialize
 
 #: Space and the control characters from tab to carriage return separate words.
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -40,6 +43,20 @@ def uniform(seed: str, key: Column) -> Column:
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint") / F.lit(float(1 << 52))
 
 
+def sampled(rows: DataFrame, order: str, n: int, by: str | None = None) -> DataFrame:
+    """At most ``n`` rows (for each value of ``by``), in the order of a uniform number of
+    60 bits. Rows are cut off by their share first, so that little more than ``n`` rows
+    meet in one task however many there are; of fewer than ``n`` rows all are taken."""
+    key = F.lit("") if by is None else F.col(by)
+    rows = rows.withColumn("_of", key)
+    counts = materialize(rows.groupBy("_of").agg(F.count("*").alias("_n")), "sample-sizes")
+    share = (F.lit(1.25 * n + 100) / F.col("_n")) * float(1 << 60)
+    near = attach_facts(rows, counts, "_of").where(F.col(order) <= share)
+    first = Window.partitionBy("_of").orderBy(order)
+    numbered = near.withColumn("_place", F.row_number().over(first))
+    return numbered.where(F.col("_place") <= n).drop("_of", "_n")
+
+
 def attach_facts(rows: DataFrame, facts: DataFrame, key: str) -> DataFrame:
     """Left join of ``facts``, a written table with one row per (non-null) ``key``.
 

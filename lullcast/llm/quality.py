@@ -17,8 +17,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lullcast.llm.common import text_or_empty
+from lullcast.llm.common import sampled, text_or_empty
 from lullcast.llm.sharding import shuffle_order
+from lullcast.workspace import materialize
 
 BITS = 18
 #: The classifier is fitted on so many labelled rows at most, those first in hash order.
@@ -67,7 +68,8 @@ def logistic(x: float | np.ndarray) -> float | np.ndarray:
 
 
 def fit(
-    labelled: DataFrame,
+    documents: DataFrame,
+    labels: DataFrame,
     label: str = "label",
     doc_id: str = "doc_id",
     text: str = "text",
@@ -75,17 +77,22 @@ def fit(
     rows: int = SAMPLE_ROWS,
     passes: int = PASSES,
 ) -> np.ndarray:
-    """Weights (the last is the bias) from at most ``rows`` rows with a label of 0 or 1.
+    """Weights (the last is the bias) from the documents of at most ``rows`` labels.
 
-    Rows without a label are not used; null texts are empty. Without any labelled row all
-    weights are 0, so every score is one half.
+    Labels other than 0 and 1, null ids and ids without a document are not used; of several
+    labels for one id the largest counts; null texts are empty, and documents that repeat
+    an id are one. Without any labelled document all weights are 0, so every score is one
+    half. The sample of labels is bounded by ``rows``, hence broadcast.
     """
-    wanted = labelled.select(
-        F.col(f"`{label}`").cast("int").alias("label"),
-        text_or_empty(text).alias("text"),
-        shuffle_order("quality", F.col(f"`{doc_id}`")).alias("_order"),
-    ).where("label in (0, 1)")
-    sample = wanted.orderBy("_order", "label", F.xxhash64("text")).limit(rows)
+    wanted = labels.select(
+        F.col(f"`{doc_id}`").alias("_id"), F.col(f"`{label}`").cast("int").alias("label")
+    ).where("label in (0, 1) and _id is not null")
+    wanted = wanted.groupBy("_id").agg(F.max("label").alias("label"))
+    wanted = wanted.withColumn("_order", shuffle_order("quality", F.col("_id")))
+    chosen = materialize(sampled(wanted, "_order", rows).drop("_place"), "label-sample")
+    texts = documents.select(F.col(f"`{doc_id}`").alias("_id"), text_or_empty(text).alias("text"))
+    found = texts.join(F.broadcast(chosen), "_id").groupBy("_id", "label", "_order")
+    sample = found.agg(F.min("text").alias("text"))
     size = 1 << bits
 
     def learn(rows: pd.DataFrame) -> pd.DataFrame:

@@ -67,7 +67,7 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     rest = remainder(F.col("doc_id"), 3)
     labels = table(spark, sf_dir, "labels").where(rest != 1)
     labels = labels.select("doc_id", F.col("quality").alias("label"))
-    weights = quality.fit(documents.join(labels, "doc_id"))
+    weights = quality.fit(documents, labels)
     scored = quality.score(documents, weights)
     predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
     return scored.select("doc_id", (rest == 1).alias("held_out"), "score", predicted)

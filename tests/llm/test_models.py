@@ -52,7 +52,7 @@ def labelled():
 
 def test_quality(spark, labelled):
     frame = spark.createDataFrame([(*r, "x") for r in labelled], "doc_id bigint, text string, label int, score string")
-    weights = quality.fit(frame.where("doc_id < 400"), bits=14)
+    weights = quality.fit(frame, frame.where("doc_id < 400"), bits=14)
     found = {r.doc_id: r.score for r in quality.score(frame, weights).collect()}
     rest = [(found[d], y) for d, _, y in labelled if d >= 400]
     assert np.mean([(s >= 0.5) == y for s, y in rest]) > 0.95
@@ -63,12 +63,15 @@ def test_quality(spark, labelled):
 
 
 def test_quality_odd(documents, odd):
-    weights = quality.fit(documents([]).withColumn("label", F.lit(1)), bits=10)
+    none = documents([]).withColumn("label", F.lit(1))
+    weights = quality.fit(none, none, bits=10)
     rows = quality.score(documents(odd), weights).collect()
     assert len(rows) == len(odd) and {r.score for r in rows} == {0.5}
     assert "text" not in rows[0] and rows[0].row == "x"
     nulls = documents(odd).withColumn("label", F.lit(None).cast("int"))
-    assert not quality.fit(nulls, bits=10).any()
+    assert not quality.fit(nulls, nulls, bits=10).any()
+    ones = documents(odd).withColumn("label", F.lit(1))
+    assert quality.fit(ones, ones, bits=10).any()
 
 
 @needs_tables

@@ -112,6 +112,21 @@ _ESCAPED = (
     "coalesce({0}, ''), '" + "|".join(f"({chat.re.escape(c)})" for c in chat.CONTROL) + "'))"
 )
 
+#: CRC-32 over the bytes of ``text``: a table made by the polynomial's rule, then a fold.
+_CRC = """
+  polynomial AS (
+    SELECT list(entry ORDER BY i) AS entries FROM (
+      SELECT i, list_reduce([CAST(i AS BIGINT), 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda v, k: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END) AS entry
+      FROM range(256) r(i))),
+  summed AS (
+    SELECT *, xor(list_reduce(
+        list_concat([CAST(4294967295 AS BIGINT)], list_transform(
+          regexp_extract_all(hex(coalesce(text, '')), '..'), lambda h: CAST('0x' || h AS BIGINT))),
+        lambda c, b: xor(c >> 8, entries[(xor(c, b) & 255) + 1])), 4294967295) AS crc
+    FROM documents CROSS JOIN polynomial)
+"""
+
 ORACLES = {
     "op2_chat": f"""
     WITH given AS (
@@ -126,6 +141,24 @@ ORACLES = {
       false AS rewrites
     FROM given GROUP BY conv_id
     """,
+    "op3_shards": f"""
+    WITH {_CRC}, ranked AS (
+      SELECT doc_id, source, crc, strlen(coalesce(text, '')) + 1 AS size,
+        row_number() OVER (PARTITION BY source ORDER BY CAST('0x' || substr(
+          md5('shards:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT), doc_id) - 1 AS r,
+        count(*) OVER (PARTITION BY source) AS n
+      FROM summed),
+    placed AS (
+      SELECT *, count(*) OVER () AS total, row_number() OVER (ORDER BY
+        CAST(2 * r + 1 AS DOUBLE) / CAST(2 * n AS DOUBLE), source NULLS FIRST, r) - 1 AS place
+      FROM ranked),
+    cut AS (SELECT *, place * {SHARDS} // total AS s FROM placed)
+    SELECT doc_id, CAST(size AS BIGINT) AS size, crc AS text_crc32, 'rows' AS law,
+      CAST(s AS INTEGER) AS shard,
+      CAST(place - (s * total + {SHARDS - 1}) // {SHARDS} AS BIGINT) AS slot,
+      CAST(NULL AS INTEGER) AS grown_shard, source
+    FROM cut
+    """,
     "op4_exact": """
     SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
       doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256

@@ -18,7 +18,7 @@ from pyspark.sql.window import Window
 
 from lullcast.workspace import materialize
 
-FACTOR = 1.1
+FACTOR = 4.0
 #: Vectors of a shard and queries of a block; both are held by one task.
 SHARD_ROWS = 8192
 BLOCK_ROWS = 2048

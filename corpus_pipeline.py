@@ -20,17 +20,19 @@ from lullcast.workspace import materialize
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the models accept; the column ``lang`` stays as it is."""
     models = langid.learn(docs)
-    found = langid.identify(docs.select(as_row(docs), "text"), models)
-    return found.where(~F.col("rejected")).select("row.*")
+    rest = [c for c in docs.columns if c != "text"]
+    rows = docs.select(as_row(docs.select(*(F.col(f"`{c}`") for c in rest))), "text")
+    found = langid.identify(rows, models, with_text=True).where(~F.col("rejected"))
+    return found.select(*(F.col("text" if c == "text" else f"row.`{c}`") for c in docs.columns))
 
 
 def rows_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose doc_id is in ``ids``, and of rows that repeat both id and
     text only one. A null id is an id."""
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id")
-    keyed = docs.select(as_row(docs), key, F.col("text").alias("_text"))
+    keyed = docs.select(as_row(docs), key)
     found = keyed.join(ids.select(key).distinct(), "_id", "left_semi")
-    first = Window.partitionBy("_id", "_text").orderBy(F.xxhash64("row"))
+    first = Window.partitionBy("_id", "row.text").orderBy(F.xxhash64("row"))
     return found.withColumn("_k", F.row_number().over(first)).where("_k = 1").select("row.*")
 
 

@@ -19,10 +19,10 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType
+from pyspark.sql.types import ArrayType, DoubleType, StructType
 from pyspark.sql.window import Window
 
-from lullcast.llm.common import text_or_empty
+from lullcast.llm.common import sampled
 from lullcast.llm.sharding import shuffle_order
 from lullcast.workspace import materialize
 
@@ -33,7 +33,7 @@ SAMPLE_ROWS = 1_500
 #: Per language and order, at most so many n-grams, the most frequent.
 MOST_GRAMS = 200_000
 #: A text is rejected beyond the mean plus so many deviations of its language's entropy.
-TOLERANCE = 8.0
+TOLERANCE = 16.0
 UNKNOWN = "und"
 IDENTIFIED = ("guess", "confidence", "rejected", "entropies", "size")
 #: Windows that a task remembers with their entropies.
@@ -293,9 +293,9 @@ def learn(
         F.col(f"`{text}`").alias("text"),
         shuffle_order("language", F.col(f"`{doc_id}`")).alias("_order"),
     ).where("lang is not null and text is not null")
-    first = Window.partitionBy("lang").orderBy("_order", F.xxhash64("text"))
-    sample = wanted.withColumn("_k", F.row_number().over(first)).where(F.col("_k") <= 2 * rows)
-    sample = materialize(sample.select("lang", "text", (F.col("_k") % 2 == 1).alias("counted")), "language-sample")
+    sample = sampled(wanted, "_order", 2 * rows, "lang")
+    counted = (F.col("_place") % 2 == 1).alias("counted")
+    sample = materialize(sample.select("lang", "text", counted), "language-sample")
     models = fit_models(sample.where("counted"), order)
     if not models:
         return models
@@ -313,8 +313,10 @@ def learn(
     return models
 
 
-def identify(documents: DataFrame, models: dict[str, Model], text: str = "text") -> DataFrame:
-    """``documents`` without ``text``, with ``guess`` (a language of ``models``, or UNKNOWN
+def identify(
+    documents: DataFrame, models: dict[str, Model], text: str = "text", with_text: bool = False
+) -> DataFrame:
+    """``documents``, without ``text`` if not asked for, with ``guess`` (a language of ``models``, or UNKNOWN
     for a null text, one without letters, or no models), ``confidence`` (0 to 1),
     ``rejected``, ``entropies`` (per model, in order) and ``size``.
 
@@ -323,8 +325,8 @@ def identify(documents: DataFrame, models: dict[str, Model], text: str = "text")
     they may be broadcast.
     """
     columns = [F.col(f"`{c}`") for c in documents.columns if c not in (text, *IDENTIFIED)]
-    rows = documents.select(*columns, text_or_empty(text))
-    schema = documents.select(*columns).schema
+    rows = documents.select(*columns, F.col(f"`{text}`"))
+    schema = StructType([*(rows if with_text else documents.select(*columns)).schema.fields])
     for name, kind in (("guess", "string"), ("confidence", "double"), ("rejected", "boolean"),
                        ("entropies", ArrayType(DoubleType())), ("size", "long")):
         schema = schema.add(name, kind)
@@ -334,7 +336,7 @@ def identify(documents: DataFrame, models: dict[str, Model], text: str = "text")
         names, known = list(shared.value), list(shared.value.values())
         scorer = Scorer(shared.value) if known else None
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
+            texts = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
             h, sizes = scorer(texts) if scorer else (np.zeros((len(texts), 0)), np.zeros(len(texts), int))
             guess, sure, rejected = [], [], []
             for own, n in zip(h, sizes):
@@ -347,6 +349,7 @@ def identify(documents: DataFrame, models: dict[str, Model], text: str = "text")
                 rejected.append(known[best].rejects(own[best], n))
             made = [pa.array(guess, pa.string()), pa.array(sure, pa.float64()), pa.array(rejected, pa.bool_()),
                     pa.array(list(h), pa.list_(pa.float64())), pa.array(sizes, pa.int64())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *made], schema.names)
+            own_columns = batch.columns if with_text else batch.columns[:-1]
+            yield pa.RecordBatch.from_arrays([*own_columns, *made], schema.names)
 
     return rows.mapInArrow(run, schema)

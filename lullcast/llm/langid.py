@@ -34,6 +34,9 @@ SAMPLE_ROWS = 1_500
 MOST_GRAMS = 200_000
 #: A text is rejected beyond the mean plus so many deviations of its language's entropy.
 TOLERANCE = 16.0
+#: From so many held-back texts a deviation is taken; a language with fewer uses that of all
+#: languages, and one with none, or with too few in all, rejects nothing.
+ENOUGH_HELD = 10
 UNKNOWN = "und"
 IDENTIFIED = ("guess", "confidence", "rejected", "entropies", "size")
 #: Windows that a task remembers with their entropies.
@@ -126,7 +129,7 @@ class Level:
 class Model:
     levels: list[Level]
     floor: float
-    mean: float = 0.0
+    mean: float = float("inf")
     deviation: float = 0.0
     spread: float = 0.0
 
@@ -304,12 +307,23 @@ def learn(
     scored = identify(held, models, "text").where("size > 0 and guess = lang")
     h = F.element_at("entropies", F.array_position(F.array(*map(F.lit, names)), F.col("lang")).cast("int"))
     scored = scored.select("lang", "size", h.alias("h"))
-    for r in scored.groupBy("lang").agg(F.avg("h"), F.stddev_pop("h")).collect():
-        models[r[0]].mean, models[r[0]].deviation = r[1], r[2]
-    means = F.create_map(*(F.lit(x) for n in names for x in (n, models[n].mean)))
+    held_back = {r[0]: r[1:] for r in scored.groupBy("lang").agg(F.count("*"), F.avg("h"), F.stddev_pop("h")).collect()}
+    if not held_back:
+        return models
+    means = F.create_map(*(F.lit(x) for n, (_, mean, _) in held_back.items() for x in (n, mean)))
     apart = F.col("h") - means[F.col("lang")]
-    for r in scored.groupBy("lang").agg(F.sqrt(F.avg(F.col("size") * apart * apart))).collect():
-        models[r[0]].spread = r[1]
+    spreads = dict(scored.groupBy("lang").agg(F.sqrt(F.avg(F.col("size") * apart * apart))).collect())
+    free = sum(n - 1 for n, _, _ in held_back.values())
+    for lang, (n, mean, deviation) in held_back.items():
+        spread = spreads[lang]
+        if n < ENOUGH_HELD:
+            if free < ENOUGH_HELD:
+                continue
+            pooled = sum(n * d * d for n, _, d in held_back.values()) / free
+            deviation = max(deviation, pooled**0.5)
+            pooled = sum(n * spreads[k] ** 2 for k, (n, _, _) in held_back.items()) / free
+            spread = max(spread, pooled**0.5)
+        models[lang].mean, models[lang].deviation, models[lang].spread = mean, deviation, spread
     return models
 
 

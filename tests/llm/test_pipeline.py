@@ -1,4 +1,5 @@
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -61,3 +62,18 @@ def test_language_stage(spark, documents):
     docs = documents(rows).withColumn("lang", F.lit("de"))
     kept = corpus_pipeline.known_language(spark, docs, SF).collect()
     assert {r.doc_id for r in kept} == set(range(40))
+
+
+@pytest.mark.parametrize("of_rare", [1, 2])
+def test_rare_languages_stay(spark, documents, of_rare):
+    """Clean documents of a language that has no or a single held-back text, and one of the
+    latter's words without a label."""
+    rare = ["llwyn", "mynydd", "cwm", "ysgol", "gwyn", "ddu", "afon", "bwrdd"]
+    r = random.Random(3)
+    say = lambda of, n: " ".join(r.choice(of) for _ in range(n))
+    common = ["the", "river", "house", "and", "morning", "is", "over", "water"]
+    rows = [(i, say(common, 60), "a") for i in range(60)] + [(100 + i, say(rare, 60), "a") for i in range(of_rare + 1)]
+    lang = F.when(F.col("doc_id") < 60, "en").when(F.col("doc_id") < 100 + of_rare, "cy")
+    docs = documents(rows).withColumn("lang", lang)
+    kept = {x.doc_id for x in corpus_pipeline.known_language(spark, docs, "").collect()}
+    assert kept == {i for i, _, _ in rows}

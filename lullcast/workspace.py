@@ -5,10 +5,14 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folders: dict[str, str] = {}
+_made: ContextVar[list[str] | None] = ContextVar("paths of the open scratch", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -26,7 +30,44 @@ def shared_folder(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that nothing else uses."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    if (made := _made.get()) is not None:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that this thread writes inside are deleted at the end, also after a failure."""
+    made: list[str] = []
+    before = _made.set(made)
+    try:
+        yield
+    finally:
+        _made.reset(before)
+        for path in made:
+            _delete(spark, path)
+
+
+def written(spark: SparkSession, label: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """What ``make`` returns, as a written table; all other tables written on the way are
+    deleted, and after a failure this one, too. It belongs to the enclosing ``scratch``, if
+    there is one, else to the caller (``discard``)."""
+    path = new_path(spark, label)
+    try:
+        with scratch(spark):
+            made = make()
+            made.write.parquet(path)
+    except BaseException:
+        _delete(spark, path)
+        raise
+    return spark.read.schema(made.schema).parquet(path).select(*(f"`{c}`" for c in made.columns))
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    spark.sql(f"DROP TABLE IF EXISTS {_table_name(path)}")
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -73,6 +114,4 @@ def discard(spark: SparkSession, *tables: DataFrame) -> None:
     files = [f for df in tables for f in df.inputFiles() if f"{bare}/" in f]
     for name in {f.split(f"{bare}/", 1)[1].split("/", 1)[0] for f in files}:
         if re.fullmatch(r"[\w-]+", name):
-            spark.sql(f"DROP TABLE IF EXISTS {_table_name(name)}")
-        path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared}/{name}")
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+            _delete(spark, f"{shared}/{name}")

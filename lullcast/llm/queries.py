@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lullcast.llm import chat, langid, neighbours, packing, passages, quality, simhash
+from lullcast.llm.clustering import CLUSTERS, ROUNDS, SCALE, SEED, centroid_clusters
 from lullcast.llm.common import table
 from lullcast.llm.exact_dedup import exact_groups
 from lullcast.llm.mixing import mixed
+from lullcast.llm.retrieval_packing import retrieval_packed
 from lullcast.llm.sharding import interleaved_shards
-from lullcast.workspace import materialize
+from lullcast.llm.spelling import DROP_ONE_IN, FORM_FACTOR, LEAST_COUNT, LEAST_LENGTH, spelling_groups
+from lullcast.workspace import materialize, written
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 SHARDS = 16
@@ -99,11 +105,33 @@ def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.repeated_passages(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_groups(table(spark, sf_dir, "documents"))
+
+
+def op12_retrieval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return retrieval_packed(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
+def op13_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_clusters(table(spark, sf_dir, "embeddings"))
+
+
+def tidy(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """The query's result as a written table; the tables it wrote on the way are deleted."""
+
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return written(spark, query.__name__, lambda: query(spark, sf_dir))
+
+    return run
+
+
 QUERIES = {
-    f.__name__: f
+    f.__name__: tidy(f)
     for f in (
         op1_pack, op2_chat, op3_shards, op4_exact, op5_simhash, op6_quality, op7_mix, op8_language,
-        op9_neighbours, op10_passages,
+        op9_neighbours, op10_passages, op11_spelling, op12_retrieval, op13_clusters,
     )
 }
 
@@ -127,7 +155,88 @@ _CRC = """
     FROM documents CROSS JOIN polynomial)
 """
 
+
+def _rounds() -> str:
+    """One CTE per assignment and per new centroid."""
+    steps = []
+    for r in range(ROUNDS + 1):
+        steps.append(f"""
+  own{r} AS MATERIALIZED (
+    SELECT row, cluster, distance FROM (
+      SELECT v.row, c.cluster, sum((v.x - c.x) * (v.x - c.x)) AS distance,
+        row_number() OVER (PARTITION BY v.row ORDER BY sum((v.x - c.x) * (v.x - c.x)), c.cluster) AS place
+      FROM components v JOIN centroids{r} c USING (at) GROUP BY v.row, c.cluster)
+    WHERE place = 1)""")
+        if r < ROUNDS:
+            steps.append(f"""
+  centroids{r + 1} AS MATERIALIZED (
+    SELECT c.cluster, c.at, coalesce(m.x, c.x) AS x FROM centroids{r} c LEFT JOIN (
+      SELECT cluster, at, (sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS x
+      FROM own{r} JOIN components USING (row) GROUP BY cluster, at) m USING (cluster, at))""")
+    return ",".join(steps)
+
+
 ORACLES = {
+    "op11_spelling": f"""
+    WITH RECURSIVE {_CRC.split("summed AS")[0]}
+    runs AS (
+      SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+      FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')) AS run FROM documents)
+      WHERE length(run) >= {LEAST_LENGTH} GROUP BY ALL),
+    hashed AS (
+      SELECT run, n, xor(list_reduce(
+        list_concat([CAST(4294967295 AS BIGINT)], list_transform(
+          regexp_extract_all(hex(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run), '..'),
+          lambda h: CAST('0x' || h AS BIGINT))),
+        lambda c, b: xor(c >> 8, entries[(xor(c, b) & 255) + 1])), 4294967295) AS h
+      FROM runs CROSS JOIN polynomial),
+    words AS (
+      SELECT CASE WHEN h % {DROP_ONE_IN} = 0
+        THEN substr(run, 1, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) AS BIGINT) + 2)
+        ELSE run END AS word, CAST(sum(n) AS BIGINT) AS n
+      FROM hashed GROUP BY 1 HAVING length(word) >= {LEAST_LENGTH} AND sum(n) >= {LEAST_COUNT}),
+    skips AS (
+      SELECT word, i, substr(word, 1, i - 1) AS before, substr(word, i + 1) AS after
+      FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)),
+    pairs AS (
+      SELECT a.word, b.word AS near FROM skips a JOIN skips b USING (i, before, after) WHERE a.word <> b.word
+      UNION SELECT a.word, b.word FROM skips a JOIN words b ON a.before || a.after = b.word
+      UNION SELECT b.word, a.word FROM skips a JOIN words b ON a.before || a.after = b.word),
+    near AS (
+      SELECT p.word, count(*) AS n_near, arg_min(p.near, (-w.n, p.near)) AS best, max(w.n) AS best_n
+      FROM pairs p JOIN words w ON p.near = w.word GROUP BY p.word),
+    linked AS (
+      SELECT word, n, coalesce(n_near, 0) AS n_near,
+        CASE WHEN best_n >= {FORM_FACTOR} * n THEN best END AS form,
+        CASE WHEN best_n >= {FORM_FACTOR} * n THEN best_n END AS form_n
+      FROM words LEFT JOIN near USING (word)),
+    reached AS (
+      SELECT word, word AS root, form AS next FROM linked
+      UNION ALL SELECT r.word, r.next, l.form FROM reached r JOIN linked l ON r.next = l.word)
+    SELECT l.word, l.form, r.root, l.n, l.n_near, l.form_n
+    FROM linked l JOIN reached r ON l.word = r.word AND r.next IS NULL
+    """,
+    "op13_clusters": f"""
+    WITH kept AS (
+      SELECT row_number() OVER () AS row, vec_id, list_transform(embedding,
+        lambda x: CAST(floor({SCALE} * CAST(x AS DOUBLE)) AS HUGEINT)) AS v
+      FROM embeddings
+      WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+    components AS MATERIALIZED (SELECT row, unnest(v) AS x, unnest(range(64)) AS at FROM kept),
+    centroids0 AS MATERIALIZED (
+      SELECT place - 1 AS cluster, at, x FROM components JOIN (
+        SELECT row, row_number() OVER (ORDER BY sha256('{SEED}:' || coalesce(CAST(vec_id AS VARCHAR), '')), v) AS place
+        FROM kept) USING (row)
+      WHERE place <= {CLUSTERS}),
+    {_rounds()},
+    digests AS (
+      SELECT cluster, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY at)) AS centroid_sha256
+      FROM centroids{ROUNDS} GROUP BY cluster)
+    SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance,
+      CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+      CAST(sum(distance) OVER () AS BIGINT) AS inertia, centroid_sha256
+    FROM own{ROUNDS} JOIN kept USING (row) JOIN digests USING (cluster)
+    """,
     "op2_chat": f"""
     WITH given AS (
       SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations

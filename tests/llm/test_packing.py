@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lullcast.llm.packing import END_ID, cut_pieces, encoder, pack, plan_runs, sequences, spans
+from lullcast.llm.packing import END_ID, cut_pieces, ids_of, pack, plan_runs, sequences, spans
 
 JSON = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -71,7 +71,18 @@ def test_spans():
 ])
 def test_ids_are_those_of_the_tokenizer_file(text):
     expected = Tokenizer.from_file(JSON).encode(text, add_special_tokens=False).ids
-    assert list(encoder(JSON).encode(text, allowed_special="all")) == expected
+    assert ids_of(JSON)(text).tolist() == expected
+
+
+@pytest.mark.parametrize("text", [" " * 3_000_000, "\n" * 3_000_000, "x" + "\t" * 3_000_000 + "y", "\u3000" * 700_000])
+def test_very_long_white_space(text):
+    expected = Tokenizer.from_file(JSON).encode(text, add_special_tokens=False).ids
+    assert ids_of(JSON)(text).tolist() == expected
+
+
+def test_pack_very_long_white_space(spark, documents):
+    rows = pack(documents([(1, " " * 3_000_000, "a"), (2, "b", "a")]), JSON).select("doc_id", "length").collect()
+    assert sum(r.length for r in rows if r.doc_id == 1) == 3_000_001
 
 
 def test_pack(spark, documents, odd):

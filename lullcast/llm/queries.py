@@ -165,14 +165,14 @@ def _rounds() -> str:
     SELECT row, cluster, distance FROM (
       SELECT v.row, c.cluster, sum((v.x - c.x) * (v.x - c.x)) AS distance,
         row_number() OVER (PARTITION BY v.row ORDER BY sum((v.x - c.x) * (v.x - c.x)), c.cluster) AS place
-      FROM components v JOIN centroids{r} c USING (at) GROUP BY v.row, c.cluster)
+      FROM components v JOIN centroids{r} c USING (dim) GROUP BY v.row, c.cluster)
     WHERE place = 1)""")
         if r < ROUNDS:
             steps.append(f"""
   centroids{r + 1} AS MATERIALIZED (
-    SELECT c.cluster, c.at, coalesce(m.x, c.x) AS x FROM centroids{r} c LEFT JOIN (
-      SELECT cluster, at, (sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS x
-      FROM own{r} JOIN components USING (row) GROUP BY cluster, at) m USING (cluster, at))""")
+    SELECT c.cluster, c.dim, coalesce(m.x, c.x) AS x FROM centroids{r} c LEFT JOIN (
+      SELECT cluster, dim, (sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS x
+      FROM own{r} JOIN components USING (row) GROUP BY cluster, dim) m USING (cluster, dim))""")
     return ",".join(steps)
 
 
@@ -181,7 +181,7 @@ ORACLES = {
     WITH RECURSIVE {_CRC.split("summed AS")[0]}
     runs AS (
       SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
-      FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')) AS run FROM documents)
+      FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS run FROM documents)
       WHERE length(run) >= {LEAST_LENGTH} GROUP BY ALL),
     hashed AS (
       SELECT run, n, xor(list_reduce(
@@ -222,15 +222,15 @@ ORACLES = {
         lambda x: CAST(floor({SCALE} * CAST(x AS DOUBLE)) AS HUGEINT)) AS v
       FROM embeddings
       WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
-    components AS MATERIALIZED (SELECT row, unnest(v) AS x, unnest(range(64)) AS at FROM kept),
+    components AS MATERIALIZED (SELECT row, unnest(v) AS x, unnest(range(64)) AS dim FROM kept),
     centroids0 AS MATERIALIZED (
-      SELECT place - 1 AS cluster, at, x FROM components JOIN (
+      SELECT place - 1 AS cluster, dim, x FROM components JOIN (
         SELECT row, row_number() OVER (ORDER BY sha256('{SEED}:' || coalesce(CAST(vec_id AS VARCHAR), '')), v) AS place
         FROM kept) USING (row)
       WHERE place <= {CLUSTERS}),
     {_rounds()},
     digests AS (
-      SELECT cluster, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY at)) AS centroid_sha256
+      SELECT cluster, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY dim)) AS centroid_sha256
       FROM centroids{ROUNDS} GROUP BY cluster)
     SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance,
       CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,

@@ -7,7 +7,7 @@ from lullcast.config import settings
 from lullcast.operators.submission import fill_by_id, fill_by_row_key, require_unique_ids
 from lullcast.plans.prediction import predict
 from lullcast.plans.training import train
-from lullcast.sources.readers import first_rows, read_batches, read_panel, read_template
+from lullcast.sources.readers import files_by_header, first_rows, read_batches, read_panel, read_template, scan_by_header
 from lullcast.sources.writers import require_same_columns, write_submission
 
 BOM = b"\xef\xbb\xbf"
@@ -43,6 +43,61 @@ def test_batches(spark, tmp_path):
         read_batches(spark, str(empty), settings())
 
 
+def batch_texts(folder, **texts):
+    folder.mkdir()
+    for name, text in texts.items():
+        (folder / f"{name}.csv").write_text(text, encoding="utf-8")
+    return str(folder)
+
+
+@pytest.mark.parametrize("ddl", [None, "ds string, y double, store_id string", "store_id string, y double, ds string"])
+def test_batches_are_read_by_their_own_headers(spark, tmp_path, ddl):
+    same = batch_texts(
+        tmp_path / "same",
+        TEST_00="ds,y,store_id\n2021-01-01,1,7\n2021-01-02,2,7\n",
+        TEST_01="ds,y,store_id\n2021-01-01,3,8\n2021-01-02,-4,8\n",
+    )
+    swapped = batch_texts(
+        tmp_path / "swapped",
+        TEST_00="store_id,ds,y\n7,2021-01-01,1\n7,2021-01-02,2\n",
+        TEST_01="y,extra,store_id,ds\n3,a,8,2021-01-01\n-4,b,8,2021-01-02\n",
+    )
+    names = ["test_name", "store_id", "ds", "y", "id"]
+    rows = [
+        sorted(tuple(r) for r in read_batches(spark, folder, settings(), ddl)[0].select(*names).collect())
+        for folder in (same, swapped)
+    ]
+    assert rows[0] == rows[1] and len(rows[0]) == 4
+    assert rows[0][3] == ("TEST_01", "8", datetime.date(2021, 1, 2), 0.0, "8")
+
+
+def test_a_batch_without_a_role_is_named(spark, tmp_path):
+    folder = batch_texts(
+        tmp_path / "lacking",
+        TEST_00="ds,y,store_id\n2021-01-01,1,7\n",
+        TEST_01="ds,amount,store_id\n2021-01-01,3,8\n",
+        TEST_02="",
+    )
+    with pytest.raises(ValueError, match="TEST_01.csv has no column y"):
+        read_batches(spark, folder, settings())
+
+
+def test_types_that_differ_between_headers(spark, tmp_path):
+    folder = batch_texts(
+        tmp_path / "types", a="ds,y,store_id\n2021-01-01,1,7\n", b="store_id,y,ds\nx,2.5,2021-01-01\n"
+    )
+    rows = scan_by_header(spark, files_by_header(spark, f"{folder}/*.csv")).select("y", "store_id").collect()
+    assert sorted(tuple(r) for r in rows) == [(1.0, "7"), (2.5, "x")]
+
+
+def test_panel_of_several_files(spark, tmp_path):
+    folder = batch_texts(
+        tmp_path / "panel", **{"a[1]": "date,store_id,sales\n2021-01-01,A,1\n", "b{2}": "sales,date,store_id\n2,2021-01-02,A\n"}
+    )
+    panel, _ = read_panel(spark, folder, settings(), ddl="date string, store_id string, sales double")
+    assert [(r.date.day, r.sales) for r in panel.orderBy("date").collect()] == [(1, 1.0), (2, 2.0)]
+
+
 def test_submission_round_trip(spark, tmp_path):
     source = tmp_path / "template.csv"
     source.write_bytes(BOM + "영업일자,메뉴 A,B\nTEST_00+1,,x\nTEST_00+2,NaN,\"q\"\"r, s\"\n".encode())

@@ -52,7 +52,8 @@ def batch_files(spark, sf_dir):
         F.col("user_id").alias("shop"), menu.alias("menu"), F.to_date("ts").alias("day")
     ).agg(F.count("*").alias("sold"))
     for k in range(3):
-        batch = days.filter(F.col("shop") % 3 == k)
+        names = days.columns[k:] + days.columns[:k]  # every file orders its columns differently
+        batch = days.filter(F.col("shop") % 3 == k).select(*names)
         batch.write.option("header", True).csv(f"{folder}/{BATCH_STEMS[k]}.csv")
     panel, _ = read_batches(
         spark, folder, BATCH_CFG, "shop bigint, menu string, day string, sold bigint"

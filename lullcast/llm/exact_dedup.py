@@ -148,18 +148,19 @@ def exact_groups(
     text: str = "text",
     digest: Column | None = None,
     size: int = 16,
+    with_recipe: bool = False,
 ) -> DataFrame:
     """One row per row of ``documents``: doc_id, ``keep_id``, ``group_size``, ``kept`` and,
-    if asked for, ``digest``, an expression over the text.
+    if asked for, ``digest``, an expression over the columns of ``documents``, and the
+    ``recipe``, which is equal for equal texts.
 
     Null texts count as empty; empty texts are one group. Of a group the largest doc_id
     stays (null ids are smallest). Rows that repeat both id and text are all kept or all
-    dropped; ``group_size`` counts rows. An empty table gives no rows; other columns are
-    ignored.
+    dropped; ``group_size`` counts rows. Texts of any length are cut into chunks whole. An
+    empty table gives no rows; other columns are ignored.
     """
-    rows = documents.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    if digest is not None:
-        rows = rows.withColumn("digest", digest)
+    given = [F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")]
+    rows = documents.select(*given, *([] if digest is None else [digest.alias("digest")]))
     seed = verified_seed(rows, "text", size)
     spelled = materialize(recipes(rows, "text", seed, size), "recipes")
     groups = spelled.groupBy("recipe").agg(
@@ -168,5 +169,5 @@ def exact_groups(
     groups = materialize(groups, "recipe-groups")
     out = attach_groups(spelled, groups, "recipe", "group_size", "doc_id")
     kept = F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept")
-    more = ["digest"] if digest is not None else []
+    more = (["digest"] if digest is not None else []) + (["recipe"] if with_recipe else [])
     return out.select("doc_id", "keep_id", "group_size", kept, *more)

@@ -16,7 +16,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lullcast.llm.common import attach_groups, text_or_empty
@@ -51,17 +51,22 @@ def fingerprint(text: str, width: int = SHINGLE, seed: int = SEED) -> int:
     return int(chosen.view("<i8")[0])
 
 
-def fingerprints(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id and ``fp`` of every row; a null text counts as empty."""
-    kind = documents.select(F.col(f"`{doc_id}`").alias("doc_id")).schema
+def fingerprints(
+    documents: DataFrame, doc_id: str = "doc_id", text: str = "text", digest: Column | None = None
+) -> DataFrame:
+    """doc_id, ``digest`` if asked for, and ``fp`` of every row; a null text counts as empty."""
+    given = [F.col(f"`{doc_id}`").alias("doc_id"), *([] if digest is None else [digest.alias("digest")])]
+    kind = documents.select(*given).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = pa.array([fingerprint(v.as_py()) for v in batch.column(1)], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), made], ["doc_id", "fp"])
+            *kept, texts = batch.columns
+            made = pa.array([fingerprint(v.as_py()) for v in texts], pa.int64())
+            yield pa.RecordBatch.from_arrays([*kept, made], names)
 
-    rows = documents.select(F.col(f"`{doc_id}`").alias("doc_id"), text_or_empty(text))
-    return rows.mapInArrow(run, kind.add("fp", "long"))
+    made_schema = kind.add("fp", "long")
+    names = made_schema.names
+    return documents.select(*given, text_or_empty(text)).mapInArrow(run, made_schema)
 
 
 def block_masks(blocks: int = BLOCKS, distance: int = DISTANCE) -> list[int]:
@@ -106,23 +111,29 @@ def links(nodes: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS, buck
 
 
 def near_groups(
-    documents: DataFrame, doc_id: str = "doc_id", text: str = "text", distance: int = DISTANCE
+    documents: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    distance: int = DISTANCE,
+    digest: Column | None = None,
 ) -> DataFrame:
     """One row per row of ``documents``: doc_id, ``fingerprint`` (16 hex digits) and
-    ``component_id``, the smallest doc_id reachable over links.
+    ``component_id``, the smallest doc_id reachable over links. If asked for also ``digest``,
+    an expression over the columns of ``documents``, and ``root``, the component's smallest
+    fingerprint, which tells components apart even where an id has several texts.
 
     Texts without words have fingerprint zero and are linked like any other; null texts
     count as empty, null ids are never the smallest unless alone. Rows that repeat are all
-    returned. An empty table gives no rows.
+    returned. Texts of any length are read whole. An empty table gives no rows.
     """
-    prints = materialize(fingerprints(documents, doc_id, text), "fingerprints")
+    prints = materialize(fingerprints(documents, doc_id, text, digest), "fingerprints")
     grouped = prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
     nodes = materialize(grouped, "distinct-fingerprints")
     found = components(links(nodes, distance))
     roots = nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left")
     roots = roots.withColumn("root", F.coalesce("root", "fp"))
     least = roots.groupBy("root").agg(F.min("least").alias("component_id"))
-    labelled = materialize(roots.join(least, "root").select("fp", "component_id", "n"), "near-groups")
+    labelled = materialize(roots.join(least, "root").select("fp", "component_id", "n", "root"), "near-groups")
     out = attach_groups(prints, labelled, "fp", "n", "doc_id")
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
-    return out.select("doc_id", digits, "component_id")
+    return out.select("doc_id", digits, "component_id", *([] if digest is None else ["digest", "root"]))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
+from lullcast import workspace
 from lullcast.llm.queries import ORACLES, QUERIES
 from lullcast.workspace import materialize
 from workload.compare import connect, differences
@@ -50,6 +51,44 @@ def test_stages_keep_columns_and_nulls(spark, documents, odd, words):
     assert corpus_pipeline.pack(spark, seen, SF).count() > 0
 
 
+@pytest.mark.parametrize("stage", [corpus_pipeline.exact_dedup, corpus_pipeline.near_dedup])
+@pytest.mark.parametrize("rows, kept", [
+    ([(7, "two words here", "a"), (9, "two words here", "a"), (7, "another text altogether", "a")], 2),
+    ([(None, "dup", "a"), (5, "dup", "a"), (None, "unique", "a")], 2),
+    ([(None, "dup", "a"), (None, "dup", "b"), (None, "dup", "b"), (None, "other", "a")], 2),
+    ([(3, "dup", None), (3, "dup", "x"), (3, "dup", "x"), (3, None, "x"), (3, "", "x")], 2),
+])
+def test_one_row_of_each_text_stays(spark, documents, stage, rows, kept):
+    docs = materialize(documents(rows), "docs")
+    found = materialize(stage(spark, docs, SF), "found").collect()
+    assert len(found) == kept
+    assert {r.text or "" for r in found} == {t or "" for _, t, _ in rows}
+    best = max if stage is corpus_pipeline.exact_dedup else min
+    for r in found:
+        ids = [i for i, t, _ in rows if (t or "") == (r.text or "") and i is not None]
+        assert r.doc_id == (best(ids) if ids else None)
+
+
+@needs_tables
+@pytest.mark.parametrize("name", [*QUERIES, "pipeline"])
+def test_only_the_result_is_left_in_the_shared_folder(spark, name, tmp_path, monkeypatch):
+    monkeypatch.setattr(workspace, "shared_folder", lambda spark: str(tmp_path))
+    found = __spark_entry__.queries()[name](spark, SF)
+    assert found.count() > 0 and len(os.listdir(tmp_path)) == 1
+
+
+def test_failures_leave_nothing(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(workspace, "shared_folder", lambda spark: str(tmp_path))
+
+    def fails():
+        materialize(spark.range(3), "first")
+        return spark.range(3).select(F.raise_error(F.lit("no")))
+
+    with pytest.raises(Exception, match="no"):
+        workspace.written(spark, "result", fails)
+    assert os.listdir(tmp_path) == []
+
+
 def test_stages_of_nothing(spark, documents):
     docs = documents([])
     for name, stage in corpus_pipeline.STAGES:

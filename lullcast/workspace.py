@@ -76,6 +76,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
 
 
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written there to its end."""
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
+
+
 def materialize(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
     """Write ``df`` once and read it back, so that later jobs neither recompute it
     nor depend on an executor's cache."""

@@ -4,7 +4,8 @@ import random
 
 from lullcast.operators.state import StateSpec, series_state, step_features
 from lullcast.schema import PanelSchema
-from lullcast.streaming.updates import feature_names, stream_features
+from lullcast.streaming import updates
+from lullcast.streaming.updates import FeatureTable, feature_names
 
 ROLES = PanelSchema("ds", "y", ("id",))
 SPEC = StateSpec(lags=(1, 3), windows=(4, 7))
@@ -13,16 +14,9 @@ START = datetime.date(2021, 1, 1)
 
 def run(spark, folder, out, marks):
     rows = spark.readStream.schema("id string, ds date, y double").parquet(folder)
-    query = (
-        stream_features(rows, ROLES, SPEC)
-        .writeStream.format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", marks)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return spark.read.parquet(out).collect()
+    features = FeatureTable(out, ROLES, SPEC)
+    features.start(rows, marks).awaitTermination()
+    return features.features(spark).collect()
 
 
 def test_stream_equals_the_state_and_ignores_old_rows(spark, panel, tmp_path):
@@ -46,3 +40,72 @@ def test_stream_equals_the_state_and_ignores_old_rows(spark, panel, tmp_path):
         assert got.n_obs == 20
         for name in feature_names(SPEC):
             assert math.isclose(got[name], want[name], abs_tol=1e-9), name
+
+
+def random_batches(panel, n_batches, seed):
+    """A panel of uneven series cut into batches, and all of it."""
+    rng = random.Random(seed)
+    series = {n: [rng.choice([0, 0, None, 1, 4.5]) for _ in range(rng.randint(1, 40))] for n in "abcd"}
+    whole = panel(**series)
+    size = -(-40 // n_batches)
+    cut = lambda k: START + datetime.timedelta(days=k * size)
+    return whole, [whole.filter((whole.ds >= cut(k)) & (whole.ds < cut(k + 1))) for k in range(n_batches)]
+
+
+def same(found, wanted):
+    assert len(found) == len(wanted)
+    for name in feature_names(SPEC):
+        assert math.isclose(found[name], wanted[name], abs_tol=1e-9), name
+
+
+def test_one_batch_or_many_and_a_new_base(spark, panel, tmp_path, monkeypatch):
+    monkeypatch.setattr(updates, "COMPACT_EVERY", 3)
+    whole, batches = random_batches(panel, 8, 3)
+    once, often = (FeatureTable(str(tmp_path / n), ROLES, SPEC) for n in ("once", "often"))
+    once.apply(whole, 0)
+    for k, rows in enumerate(batches):
+        often.apply(rows, k)
+    assert sorted(p.name for p in (tmp_path / "often" / "base").iterdir()) == ["batch=2", "batch=5"]
+    key = lambda r: (r.id, r.ds)
+    first, second = (sorted(t.features(spark).collect(), key=key) for t in (once, often))
+    assert [key(r) for r in first] == [key(r) for r in second] and len(first) == whole.count()
+    for a, b in zip(first, second):
+        assert (a.n_obs, a.n_ignored) == (b.n_obs, 0)
+        same(a, b)
+    types = once._types(whole)
+    states = [sorted(t.state(spark, types, n).collect(), key=lambda r: r.id) for t, n in ((once, 0), (often, 7))]
+    assert states[0] == states[1]
+
+
+def test_a_replayed_batch_changes_nothing(spark, panel, tmp_path):
+    whole, batches = random_batches(panel, 3, 4)
+    table = FeatureTable(str(tmp_path / "t"), ROLES, SPEC)
+    for k, rows in enumerate(batches):
+        table.apply(rows, k)
+    seen = sorted(table.features(spark).collect(), key=str)
+    table.apply(batches[1], 1)
+    table.apply(batches[2].union(batches[2]), 2)  # even with other rows
+    assert sorted(table.features(spark).collect(), key=str) == seen
+    # a batch that broke off is written anew
+    (tmp_path / "t" / "changes" / "batch=2" / "_SUCCESS").unlink()
+    table.apply(batches[2], 2)
+    assert sorted(table.features(spark).collect(), key=str) == seen
+
+
+def test_the_update_needs_no_python_worker(spark, panel, tmp_path):
+    table = FeatureTable(str(tmp_path / "t"), ROLES, SPEC)
+    table.apply(panel(a=[1, 0, 2]), 0)
+    plan = table._changed(panel(a=[1, 0, 2, 5]), 1)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_rows_without_key_or_date_and_repeated_days(spark, tmp_path):
+    rows = [("a", START, 1.0), ("a", START, 9.0), (None, START, 1.0), ("a", None, 1.0), ("b", START, None)]
+    table = FeatureTable(str(tmp_path / "t"), ROLES, SPEC)
+    table.apply(spark.createDataFrame(rows, "id string, ds date, y double").coalesce(1), 0)
+    found = {r.id: r for r in table.features(spark).collect()}
+    assert set(found) == {"a", "b"}
+    assert (found["a"].lag_1, found["a"].n_obs, found["a"].n_ignored) == (1.0, 1, 1)
+    assert (found["b"].lag_1, found["b"].days_since_last_sale, found["b"].rolling_zero_count_7d) == (0.0, 1.0, 1.0)
+    table.apply(spark.createDataFrame([], "id string, ds date, y double"), 1)
+    assert table.features(spark).count() == 2

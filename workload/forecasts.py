@@ -24,7 +24,7 @@ from lullcast.operators.state import (
 )
 from lullcast.operators.submission import fill_by_id, fill_by_row_key
 from lullcast.schema import PanelSchema
-from lullcast.streaming.updates import stream_features
+from lullcast.streaming.updates import FeatureTable
 from lullcast.workspace import materialize, new_path
 from workload.dates import columns
 from workload.registry import (
@@ -373,16 +373,9 @@ def _streamed(spark, sf_dir, spec):
     source, out, marks = (new_path(spark, f"stream-{n}") for n in ("in", "out", "marks"))
     user_panel(spark, sf_dir).write.parquet(source)
     rows = spark.readStream.schema("id bigint, ds date, y double").parquet(source)
-    query = (
-        stream_features(rows, USER, spec)
-        .writeStream.format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", marks)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return spark.read.parquet(out)
+    features = FeatureTable(out, USER, spec)
+    features.start(rows, marks).awaitTermination()
+    return features.features(spark)
 
 
 BATCHED = PanelSchema("ds", "y", ("id",), "test_name")

@@ -11,12 +11,21 @@ the same layer are evaluated together.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from itertools import zip_longest
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from lullcast.operators.chunks import (
+    CHUNK,
+    CHUNK_ROWS,
+    LAST_SALE,
+    LAST_STOP,
+    NUMBER,
+    in_chunks,
+    out_of_chunks,
+)
 from lullcast.operators.cleaning import drop_null_keys
 from lullcast.schema import PanelSchema
 
@@ -52,6 +61,32 @@ def apply_layers(df: DataFrame, schema: PanelSchema, *families: Layers) -> DataF
     return out.drop(*interim)
 
 
+def with_layers(
+    df: DataFrame,
+    schema: PanelSchema,
+    halo: int,
+    make: Callable[[PanelSchema], Sequence[Layers]],
+    chunk_rows: int | None = None,
+) -> DataFrame:
+    """Add the families that ``make`` gives, which look ``halo`` rows back, or to the start by
+    what chunks carry. A panel without key columns is one series and is cut into chunks;
+    with ``chunk_rows`` any panel is."""
+    if chunk_rows is None and schema.keys:
+        return apply_layers(df, schema, *make(schema))
+    rows, by_chunk = in_chunks(drop_null_keys(df, schema), schema, halo, chunk_rows or CHUNK_ROWS)
+    return out_of_chunks(apply_layers(rows, by_chunk, *make(by_chunk)))
+
+
+def _row_number(schema: PanelSchema) -> Column:
+    return F.col(NUMBER) if CHUNK in schema.series else F.row_number().over(schema.by_date())
+
+
+def _latest(schema: PanelSchema, number: Column, carried: str) -> Column:
+    """The largest ``number`` so far in the series, ``carried`` being that before its chunk."""
+    found = F.max(number).over(_so_far(schema))
+    return F.greatest(found, F.col(carried)) if CHUNK in schema.series else found
+
+
 def lag_layers(schema: PanelSchema, lags: Sequence[int]) -> Layers:
     y, w = F.col(schema.target), schema.by_date()
     return [{f"lag_{n}": _or_zero(F.lag(y, n).over(w)) for n in lags}]
@@ -133,9 +168,9 @@ def since_sale_layers(schema: PanelSchema, name: str, pre_first_sale: str = "zer
     before = F.lit(0) if pre_first_sale == "count" else F.col("_rn")
     sale = F.when(F.col(schema.target) > 0, F.col("_rn"))
     return [
-        {"_rn": F.row_number().over(schema.by_date())},
+        {"_rn": _row_number(schema)},
         {},
-        {"_sale_rn": F.max(sale).over(_so_far(schema))},
+        {"_sale_rn": _latest(schema, sale, LAST_SALE)},
         {name: (F.col("_rn") - F.coalesce("_sale_rn", before)).cast("double")},
     ]
 
@@ -162,28 +197,38 @@ def intermittency_layers(
 def zero_run_layers(schema: PanelSchema, name: str) -> Layers:
     """Distance to the latest row that is not 0, which is where the run began."""
     is_zero = F.coalesce(F.col(schema.target) == 0, F.lit(False))
-    stop = F.max(F.when(~is_zero, F.col("_rn"))).over(_so_far(schema))
     return [
-        {"_rn": F.row_number().over(schema.by_date())},
-        {"_stop_rn": stop},
+        {"_rn": _row_number(schema)},
+        {"_stop_rn": _latest(schema, F.when(~is_zero, F.col("_rn")), LAST_STOP)},
         {name: (F.col("_rn") - F.coalesce("_stop_rn", F.lit(0))).cast("double")},
     ]
 
 
-def lag_features(df: DataFrame, schema: PanelSchema, lags: Sequence[int]) -> DataFrame:
+def lag_features(
+    df: DataFrame, schema: PanelSchema, lags: Sequence[int], chunk_rows: int | None = None
+) -> DataFrame:
     """The target ``n`` rows ago, 0 where there is none."""
-    return apply_layers(df, schema, lag_layers(schema, lags))
+    return with_layers(df, schema, max(lags, default=0), lambda s: [lag_layers(s, lags)], chunk_rows)
 
 
-def rolling_features(df: DataFrame, schema: PanelSchema, windows: Sequence[int]) -> DataFrame:
+def rolling_features(
+    df: DataFrame, schema: PanelSchema, windows: Sequence[int], chunk_rows: int | None = None
+) -> DataFrame:
     """Mean, deviation, minimum and maximum of the rows before the current one."""
-    return apply_layers(df, schema, rolling_layers(schema, windows))
+    halo = max(windows, default=0)
+    return with_layers(df, schema, halo, lambda s: [rolling_layers(s, windows)], chunk_rows)
 
 
 def lag_rolling_features(
-    df: DataFrame, schema: PanelSchema, lags: Sequence[int], windows: Sequence[int]
+    df: DataFrame,
+    schema: PanelSchema,
+    lags: Sequence[int],
+    windows: Sequence[int],
+    chunk_rows: int | None = None,
 ) -> DataFrame:
-    return apply_layers(df, schema, lag_layers(schema, lags), rolling_layers(schema, windows))
+    halo = max([*lags, *windows], default=0)
+    make = lambda s: [lag_layers(s, lags), rolling_layers(s, windows)]
+    return with_layers(df, schema, halo, make, chunk_rows)
 
 
 def days_since_sale(
@@ -191,9 +236,12 @@ def days_since_sale(
     schema: PanelSchema,
     name: str = "days_since_last_sale",
     pre_first_sale: str = "zero",
+    chunk_rows: int | None = None,
 ) -> DataFrame:
-    layers = since_sale_layers(schema, "_since", pre_first_sale)
-    return apply_layers(df, schema, [*layers, {name: F.col("_since")}])
+    def make(s: PanelSchema) -> list[Layers]:
+        return [[*since_sale_layers(s, "_since", pre_first_sale), {name: F.col("_since")}]]
+
+    return with_layers(df, schema, 0, make, chunk_rows)
 
 
 def intermittency_features(
@@ -201,6 +249,7 @@ def intermittency_features(
     schema: PanelSchema,
     include_current: bool = True,
     pre_first_sale: str = "zero",
+    chunk_rows: int | None = None,
 ) -> DataFrame:
     """Days since the last sale, zeros among the last 7 rows, and the mean
     days-since-sale of the last 28 rows.
@@ -208,26 +257,28 @@ def intermittency_features(
     ``include_current=False`` gives the days since sale as known the day before,
     which does not reveal the current target.
     """
-    layers = intermittency_layers(schema, include_current, pre_first_sale)
-    return apply_layers(df, schema, layers)
+    make = lambda s: [intermittency_layers(s, include_current, pre_first_sale)]
+    return with_layers(df, schema, INTERVAL_ROWS, make, chunk_rows)
 
 
-def zero_run(df: DataFrame, schema: PanelSchema, name: str = "zero_run") -> DataFrame:
+def zero_run(
+    df: DataFrame, schema: PanelSchema, name: str = "zero_run", chunk_rows: int | None = None
+) -> DataFrame:
     """Length of the current run of zeros; 0 when the target is not 0."""
-    return apply_layers(df, schema, zero_run_layers(schema, name))
+    return with_layers(df, schema, 0, lambda s: [zero_run_layers(s, name)], chunk_rows)
 
 
-def report_features(df: DataFrame, schema: PanelSchema) -> DataFrame:
+def report_features(
+    df: DataFrame, schema: PanelSchema, chunk_rows: int | None = None
+) -> DataFrame:
     """Lags, mean and sum of the previous 7 rows, and the zero run, per series."""
-    y, recent = F.col(schema.target), _previous(schema, REPORT_ROWS)
-    sums = {"ma7": _or_zero(F.avg(y).over(recent)), "sum7": _or_zero(F.sum(y).over(recent))}
-    return apply_layers(
-        df,
-        schema,
-        lag_layers(schema, REPORT_LAGS),
-        [sums],
-        zero_run_layers(schema, "zero_run"),
-    )
+
+    def make(s: PanelSchema) -> list[Layers]:
+        y, recent = F.col(s.target), _previous(s, REPORT_ROWS)
+        sums = {"ma7": _or_zero(F.avg(y).over(recent)), "sum7": _or_zero(F.sum(y).over(recent))}
+        return [lag_layers(s, REPORT_LAGS), [sums], zero_run_layers(s, "zero_run")]
+
+    return with_layers(df, schema, max(REPORT_LAGS), make, chunk_rows)
 
 
 def zero_fill(df: DataFrame) -> DataFrame:

@@ -147,3 +147,45 @@ def test_leap_days_and_long_years(spark):
         ).collect()
     ]
     assert got == [(9, 3, 2024, 1), (9, 1, 2023, 1), (53, 3, 2020, 1), (52, 6, 2024, 0), (1, 0, 2024, 0)]
+
+
+CHUNKED = {
+    "lags": lambda d, s, n: windows.lag_features(d, s, [1, 3, 9], n),
+    "rolling": lambda d, s, n: windows.rolling_features(d, s, [7, 14, 28], n),
+    "since": lambda d, s, n: windows.days_since_sale(d, s, chunk_rows=n),
+    "since_count": lambda d, s, n: windows.days_since_sale(d, s, pre_first_sale="count", chunk_rows=n),
+    "intermittency": lambda d, s, n: windows.intermittency_features(d, s, chunk_rows=n),
+    "known_before": lambda d, s, n: windows.intermittency_features(d, s, False, "count", n),
+    "zero_run": lambda d, s, n: windows.zero_run(d, s, chunk_rows=n),
+    "report": lambda d, s, n: windows.report_features(d, s, n),
+}
+
+
+@pytest.mark.parametrize("name", CHUNKED)
+def test_chunks_give_the_features_of_whole_series(spark, roles, panel, name):
+    """Long runs without a sale over several chunks, nulls, and days that are missing."""
+    rng = random.Random(2)
+    quiet = lambda n: [0.0] * n
+    busy = lambda n: [rng.choice([0, 0, None, 1, 4.5]) for _ in range(n)]
+    df = panel(a=quiet(45) + busy(60) + quiet(130) + busy(40), b=busy(3), c=quiet(70))
+    df = df.filter("dayofmonth(ds) <> 13")
+    whole = CHUNKED[name](df, roles, None)
+    for size in (1, 30, 1000):
+        found = CHUNKED[name](df, roles, size).select(whole.columns)
+        key = lambda r: (r.id, r.ds)
+        for a, b in zip(sorted(whole.collect(), key=key), sorted(found.collect(), key=key), strict=True):
+            assert tuple(a)[:3] == tuple(b)[:3]
+            assert tuple(a)[3:] == pytest.approx(tuple(b)[3:], abs=1e-9)
+
+
+def test_one_long_series_takes_many_tasks(spark, panel):
+    rng = random.Random(3)
+    df = panel(a=[rng.choice([0, 2]) for _ in range(400)]).drop("id")
+    alone = PanelSchema("ds", "y")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = windows.lag_features(df, alone, [1, 7], chunk_rows=50)
+        assert len(found.groupBy(F.spark_partition_id()).agg(F.sum("lag_7")).collect()) > 1
+        assert found.count() == 400
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")

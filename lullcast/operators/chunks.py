@@ -66,9 +66,10 @@ def in_chunks(
     copies = rows.withColumn(CHUNK, F.explode(F.sequence("_own", last)))
     # behind the last chunk nothing follows that the last rows could be a halo of
     copies = copies.withColumn(IS_HALO, F.col(CHUNK) > F.col("_own")).drop("_own")
-    # dealt by name, as rows that happen to lie in one task would otherwise stay there
-    copies = copies.repartition(*map(column, schema.keys), F.col(CHUNK))
-    return copies.join(carried, [*schema.keys, CHUNK]), replace(schema, series=(*schema.series, CHUNK))
+    joined = copies.join(carried, [*schema.keys, CHUNK])
+    # dealt explicitly: rows that happen to lie in one task would otherwise stay there
+    joined = joined.repartition(*map(column, schema.keys), F.col(CHUNK))
+    return joined, replace(schema, series=(*schema.series, CHUNK))
 
 
 def out_of_chunks(df: DataFrame) -> DataFrame:

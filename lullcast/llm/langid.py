@@ -30,11 +30,13 @@ ORDER = 4
 #: Models are fitted on so many texts of each language at most, those first in hash order;
 #: as many others set its threshold.
 SAMPLE_ROWS = 1_500
-#: Per language and order, at most so many n-grams, the most frequent.
-MOST_GRAMS = 200_000
-#: A text is rejected beyond the mean plus so many deviations of its language's entropy.
-TOLERANCE = 16.0
-#: From so many held-back texts a deviation is taken; a language with fewer uses that of all
+#: They hold so many characters at most, which bounds the n-grams: a model has all of them.
+#: A text that is longer than all may be is not learnt from.
+SAMPLE_CHARS = 1 << 23
+#: A text is rejected if its entropy is so many times as far above its language's mean as that
+#: of the farthest held-back text, in deviations for its length.
+SLACK = 2.0
+#: From so many held-back texts a threshold is taken; a language with fewer uses that of all
 #: languages, and one with none, or with too few in all, rejects nothing.
 ENOUGH_HELD = 10
 UNKNOWN = "und"
@@ -132,11 +134,12 @@ class Model:
     mean: float = float("inf")
     deviation: float = 0.0
     spread: float = 0.0
+    farthest: float = float("inf")
 
     def rejects(self, entropy: float, size: int) -> bool:
         """Whether ``entropy`` over ``size`` places is out of line with held-back texts."""
         usual = max(self.deviation, self.spread / size**0.5)
-        return entropy > self.mean + TOLERANCE * usual
+        return entropy > self.mean + SLACK * self.farthest * usual
 
 
 def lookup(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, missing: float) -> np.ndarray:
@@ -249,9 +252,10 @@ def gram_counts(texts: DataFrame, order: int = ORDER) -> DataFrame:
     return rows.groupBy("lang", "n", "gram", "context", "suffix").agg(F.sum("count").alias("count"))
 
 
-def fit_models(texts: DataFrame, order: int = ORDER, most: int = MOST_GRAMS) -> dict[str, Model]:
-    """A model for each ``lang`` of ``texts`` (lang, text). Counts and continuation counts
-    are aggregated by Spark; ``most`` bounds what reaches the driver."""
+def fit_models(texts: DataFrame, order: int = ORDER) -> dict[str, Model]:
+    """A model for each ``lang`` of ``texts`` (lang, text), with all their n-grams. Counts and
+    continuation counts are aggregated by Spark; models come to the driver, so the texts have
+    to be a bounded sample."""
     counts = materialize(gram_counts(texts, order), "grams")
     wider = counts.where("n > 1").groupBy("lang", (F.col("n") - 1).alias("n"), F.col("suffix").alias("gram"))
     continued = wider.agg(F.count("*").alias("different"))
@@ -259,11 +263,9 @@ def fit_models(texts: DataFrame, order: int = ORDER, most: int = MOST_GRAMS) ->
     c = F.when(F.col("n") == order, F.col("count")).otherwise(F.col("different"))
     used = joined.select("lang", "n", "gram", "context", c.alias("c")).where("c > 0")
     used = materialize(used, "kneser-ney")
-    ranked = Window.partitionBy("lang", "n").orderBy(F.desc("c"), "gram")
-    kept = used.withColumn("_k", F.row_number().over(ranked)).where(F.col("_k") <= most).drop("_k")
     few = [F.sum((F.col("c") == k).cast("bigint")).alias(f"of_{k}") for k in (1, 2)]
     rare = {(r[0], r[1]): (r[2], r[3]) for r in used.groupBy("lang", "n").agg(*few).collect()}
-    data = kept.toPandas()
+    data = used.toPandas()
     return {
         lang: Model(*_levels(of_lang, [rare.get((lang, n), (0, 0)) for n in range(1, order + 1)]))
         for lang, of_lang in data.groupby("lang")
@@ -290,14 +292,18 @@ def learn(
     rows: int = SAMPLE_ROWS, order: int = ORDER,
 ) -> dict[str, Model]:
     """Models with thresholds from the labelled ``documents``; rows without a language or
-    a text are not used. No such row: no model."""
+    a text are not used. No such row: no model. Of each language at most ``rows`` texts with
+    SAMPLE_CHARS characters are counted, and as many set the threshold."""
     wanted = documents.select(
         F.col(f"`{lang}`").alias("lang"),
         F.col(f"`{text}`").alias("text"),
         shuffle_order("language", F.col(f"`{doc_id}`")).alias("_order"),
-    ).where("lang is not null and text is not null")
+    ).where("lang is not null and text is not null").where(F.length("text") <= SAMPLE_CHARS)
     sample = sampled(wanted, "_order", 2 * rows, "lang")
     counted = (F.col("_place") % 2 == 1).alias("counted")
+    so_far = Window.partitionBy("lang", F.col("_place") % 2).orderBy("_place")
+    chars = F.sum(F.length("text").cast("bigint")).over(so_far)  # at most ``rows`` rows each
+    sample = sample.withColumn("_chars", chars).where(F.col("_chars") <= SAMPLE_CHARS)
     sample = materialize(sample.select("lang", "text", counted), "language-sample")
     models = fit_models(sample.where("counted"), order)
     if not models:
@@ -324,6 +330,19 @@ def learn(
             pooled = sum(n * spreads[k] ** 2 for k, (n, _, _) in held_back.items()) / free
             spread = max(spread, pooled**0.5)
         models[lang].mean, models[lang].deviation, models[lang].spread = mean, deviation, spread
+    known = {n: m for n, m in models.items() if m.mean < float("inf")}
+    if not known:
+        return models
+    facts = F.create_map(*(
+        F.lit(x) for n, m in known.items() for x in (n, F.array(*map(F.lit, (m.mean, m.deviation, m.spread))))
+    ))[F.col("lang")]
+    usual = F.greatest(facts[1], facts[2] / F.sqrt("size"))
+    above = scored.where(F.col("lang").isin(*known)).select("lang", F.try_divide(F.col("h") - facts[0], usual).alias("z"))
+    farthest = dict(above.groupBy("lang").agg(F.max("z")).collect())
+    for lang, model in known.items():
+        own = farthest.get(lang) if held_back[lang][0] >= ENOUGH_HELD else None
+        of = [z for z in ([own] if own is not None else farthest.values()) if z is not None]
+        model.farthest = max(1.0, *of) if of else float("inf")
     return models
 
 

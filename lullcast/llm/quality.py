@@ -81,12 +81,12 @@ def fit(
 
     Labels other than 0 and 1, null ids and ids without a document are not used; of several
     labels for one id the largest counts; null texts are empty, and documents that repeat
-    an id are one. Without any labelled document all weights are 0, so every score is one
+    an id are one. Texts of any length are read whole. Without any labelled document all weights are 0, so every score is one
     half. The sample of labels is bounded by ``rows``, hence broadcast.
     """
     wanted = labels.select(
-        F.col(f"`{doc_id}`").alias("_id"), F.col(f"`{label}`").cast("int").alias("label")
-    ).where("label in (0, 1) and _id is not null")
+        F.col(f"`{doc_id}`").alias("_id"), F.col(f"`{label}`").alias("label")
+    ).where("label in (0, 1) and _id is not null").withColumn("label", F.col("label").cast("int"))
     wanted = wanted.groupBy("_id").agg(F.max("label").alias("label"))
     wanted = wanted.withColumn("_order", shuffle_order("quality", F.col("_id")))
     chosen = materialize(sampled(wanted, "_order", rows).drop("_place"), "label-sample")

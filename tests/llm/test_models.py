@@ -1,3 +1,4 @@
+import hashlib
 import math
 import os
 import random
@@ -8,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lullcast.llm import langid, quality
+from lullcast.llm.quality import features, fit
 from lullcast.llm.queries import op6_quality, op8_language
 
 SF = "/root/testdata/sf0.01"
@@ -180,3 +182,49 @@ def test_foreign_text_is_rejected(spark):
     models = langid.learn(frame)
     asked = spark.createDataFrame([(1, "xqzv kjwq " * 40), (2, texts[0])], "doc_id bigint, text string")
     assert {x.doc_id: x.rejected for x in langid.identify(asked, models).collect()} == {1: True, 2: False}
+
+
+@needs_tables
+@pytest.mark.parametrize("unseen", ["de", "en"])
+def test_an_unseen_language_is_rejected(spark, unseen):
+    """Models without one of the languages: how much of it is accepted, and of the others rejected."""
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("lang is not null")
+    models = langid.learn(rows.where(F.col("lang") != unseen))
+    found = langid.identify(rows.select("lang", "text"), models).where("size > 200").groupBy("lang")
+    rejected = {r[0]: r[1] for r in found.agg(F.avg(F.col("rejected").cast("int"))).collect()}
+    print(rejected)
+    assert rejected.pop(unseen) > 0.8
+    assert max(rejected.values()) < 0.02
+
+
+def ftrl_by_rows(rows, bits, passes, alpha=4.0, beta=1.0, l1=0.01, l2=0.01):
+    """Weights by the published update, one coordinate at a time."""
+    z, n = {}, {}
+
+    def weight(k):
+        if abs(z.get(k, 0.0)) <= l1:
+            return 0.0
+        return -(z[k] - math.copysign(l1, z[k])) / ((beta + math.sqrt(n[k])) / alpha + l2)
+
+    for _ in range(passes):
+        for text, label in rows:
+            at, values = features(text, bits)
+            vector = {**dict(zip(at.tolist(), values.tolist())), "bias": 1.0}
+            p = 1 / (1 + math.exp(-sum(weight(k) * v for k, v in vector.items())))
+            for k, v in vector.items():
+                g, w, before = (p - label) * v, weight(k), n.get(k, 0.0)
+                z[k] = z.get(k, 0.0) + g - (math.sqrt(before + g * g) - math.sqrt(before)) / alpha * w
+                n[k] = before + g * g
+    return {k: weight(k) for k in z}
+
+
+def test_fit_equals_the_update_by_hand(spark, words):
+    rows = [(i, " ".join(words(30, i, 40))) for i in range(60)]
+    labels = [(i, float(i % 2)) for i in range(50)] + [(50, 0.7), (51, None), (None, 1.0), (999, 1.0)]
+    documents = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = fit(documents, spark.createDataFrame(labels, "doc_id bigint, label double"), bits=10, passes=3)
+    order = lambda i: int(hashlib.md5(f"quality:{i}".encode()).hexdigest()[:15], 16)
+    wanted = ftrl_by_rows([(rows[i][1], i % 2) for i in sorted(range(50), key=order)], 10, 3)
+    assert found[-1] == pytest.approx(wanted.pop("bias"))
+    for k in range(1 << 10):
+        assert found[k] == pytest.approx(wanted.get(k, 0.0), abs=1e-12)

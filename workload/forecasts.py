@@ -34,7 +34,6 @@ from workload.registry import (
     USER,
     USER_SQL,
     case,
-    last_event_day,
     last_ship_day,
     rounded,
     six,
@@ -185,28 +184,20 @@ NEXT_PADDED_ROW = NEXT_ROW.replace(
     "list(y ORDER BY ds)", PADDED.format(n=366, values="list(y ORDER BY ds)")
 ).replace("list(since ORDER BY ds)", PADDED.format(n=28, values="list(since ORDER BY ds)"))
 ZERO_PAD = settings({"features": {"short_history": "zero_pad"}})
-SHORT = "short AS (SELECT * FROM panel WHERE ds > (SELECT max(ds) FROM panel) - CAST(10 + id % 5 AS INTEGER))"
 
 
-def short_panel(spark, sf_dir):
-    """10 to 14 days per user, fewer than the longest window."""
-    last = last_event_day(spark, sf_dir)
-    days = (F.lit(10) + F.col("id") % 5).cast("int")
-    return user_panel(spark, sf_dir).filter(F.date_diff(last, F.col("ds")) < days)
-
-
-@case(f"WITH {USER_SQL}, {SHORT}, since AS ({since_sql('0', 'short')}) {NEXT_PADDED_ROW}")
+@case(f"WITH {USER_SQL}, since AS ({since_sql('0')}) {NEXT_PADDED_ROW}")
 def padded_step_features(spark, sf_dir):
     spec = StateSpec.from_settings(ZERO_PAD)
-    state = series_state(short_panel(spark, sf_dir), USER, spec)
+    state = series_state(user_panel(spark, sf_dir), USER, spec)
     return rounded(step_features(state, spec), *ROUNDED_STEP).drop("hist", "ring")
 
 
 @case(
-    f"WITH {USER_SQL}, {SHORT}, {recursion_sql(7, THRESHOLD, 'short', padded=True)} {long_sql(7)}"
+    f"WITH {USER_SQL}, {recursion_sql(7, THRESHOLD, padded=True)} {long_sql(7)}"
 )
 def padded_rule_forecast(spark, sf_dir):
-    panel = short_panel(spark, sf_dir)
+    panel = user_panel(spark, sf_dir)
     forecast = recursive_forecast(panel, USER, RuleScorer(), THRESHOLD, ZERO_PAD)
     return rounded(forecast_long(forecast, USER, 7), "yhat", "p", "q")
 

@@ -72,5 +72,27 @@ def in_chunks(
     return joined, replace(schema, series=(*schema.series, CHUNK))
 
 
+def from_day(df: DataFrame, schema: PanelSchema, halo: int, first) -> tuple[DataFrame, PanelSchema]:
+    """The rows from day ``first`` on as one chunk per series, with its halo and what is
+    carried. Needs the partitioning that the windows need, no further shuffle."""
+    y, w = column(schema.target), schema.by_date()
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    is_early = column(schema.date) < F.lit(first)
+    is_zero = F.coalesce(y == 0, F.lit(False))
+    counted = df.withColumns(
+        {NUMBER: F.row_number().over(w), "_early": F.count_if(is_early).over(whole)}
+    )
+    before_halo = F.col(NUMBER) <= F.col("_early") - halo
+    marked = counted.withColumns(
+        {
+            LAST_SALE: F.max(F.when((y > 0) & before_halo, F.col(NUMBER))).over(whole),
+            LAST_STOP: F.max(F.when(~is_zero & before_halo, F.col(NUMBER))).over(whole),
+        }
+    )
+    kept = marked.filter(~before_halo).drop("_early")
+    made = kept.withColumns({IS_HALO: is_early, CHUNK: F.lit(0)})
+    return made, replace(schema, series=(*schema.series, CHUNK))
+
+
 def out_of_chunks(df: DataFrame) -> DataFrame:
     return df.filter(~F.col(IS_HALO)).drop(CHUNK, NUMBER, LAST_SALE, LAST_STOP, IS_HALO)

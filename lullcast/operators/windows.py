@@ -23,6 +23,7 @@ from lullcast.operators.chunks import (
     LAST_SALE,
     LAST_STOP,
     NUMBER,
+    from_day,
     in_chunks,
     out_of_chunks,
 )
@@ -67,13 +68,18 @@ def with_layers(
     halo: int,
     make: Callable[[PanelSchema], Sequence[Layers]],
     chunk_rows: int | None = None,
+    first=None,
 ) -> DataFrame:
     """Add the families that ``make`` gives, which look ``halo`` rows back, or to the start by
     what chunks carry. A panel without key columns is one series and is cut into chunks;
-    with ``chunk_rows`` any panel is."""
-    if chunk_rows is None and schema.keys:
+    with ``chunk_rows`` any panel is. With ``first`` only rows from that day on are made."""
+    if chunk_rows is None and first is None and schema.keys:
         return apply_layers(df, schema, *make(schema))
-    rows, by_chunk = in_chunks(drop_null_keys(df, schema), schema, halo, chunk_rows or CHUNK_ROWS)
+    known = drop_null_keys(df, schema)
+    if first is not None:
+        rows, by_chunk = from_day(known, schema, halo, first)
+    else:
+        rows, by_chunk = in_chunks(known, schema, halo, chunk_rows or CHUNK_ROWS)
     return out_of_chunks(apply_layers(rows, by_chunk, *make(by_chunk)))
 
 

@@ -66,6 +66,10 @@ def written(spark: SparkSession, label: str, make: Callable[[], DataFrame]) -> D
 
 def _delete(spark: SparkSession, path: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {_table_name(path)}")
+    delete_path(spark, path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path(path)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 

@@ -1,4 +1,5 @@
 import datetime
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +9,9 @@ from lullcast.operators.submission import fill_by_id, fill_by_row_key, require_u
 from lullcast.plans.prediction import predict
 from lullcast.plans.training import train
 from lullcast.sources.readers import files_by_header, first_rows, read_batches, read_panel, read_template, scan_by_header
+from lullcast.plans.features import feature_frame
+from lullcast.schema import PanelSchema
+from lullcast.sources.store import MONTH, cached_features
 from lullcast.sources.writers import require_same_columns, write_submission
 
 BOM = b"\xef\xbb\xbf"
@@ -206,3 +210,51 @@ def test_predict_guards_short_batches(spark, trained, tmp_path):
     (tmp_path / "sample.csv").write_text("id,D1\ns_1,\n", encoding="utf-8")
     with pytest.raises(ValueError, match="fewer than 28"):
         predict(spark, str(trained / "model"), str(tmp_path), str(tmp_path / "sample.csv"), str(tmp_path / "o"), CFG)
+
+
+def month_files(path):
+    return {p.parent.name: (p.name, p.stat().st_mtime_ns) for p in path.glob("*/*/*.parquet")}
+
+
+def test_cache_follows_its_input(spark, panel, tmp_path):
+    """A changed panel is never served stale, and unchanged months are not written again."""
+    roles = PanelSchema("ds", "y", ("id",))
+    cfg = settings({"features": {"lags": [1, 7, 28], "rollings": [7, 14]}})
+    rng = random.Random(9)
+    values = {n: [float(rng.choice([0, 0, 0, 1, 5])) for _ in range(150)] for n in "ab"}
+    calls = []
+
+    def features(rows):
+        def build(first=None):
+            calls.append(first)
+            return feature_frame(rows, roles, cfg, F.lit(datetime.date(2021, 1, 1)), True, first)
+
+        return cached_features(spark, str(tmp_path), "k", "ds", build, rows)
+
+    def check(rows, first):
+        calls.clear()
+        found = features(rows).drop(MONTH)
+        assert calls == ([] if first == "none" else [first])
+        wanted = feature_frame(rows, roles, cfg, F.lit(datetime.date(2021, 1, 1)), True)
+        key = lambda r: (r.id, r.ds)
+        a, b = (sorted(x.select(wanted.columns).collect(), key=key) for x in (found, wanted))
+        assert [key(r) for r in a] == [key(r) for r in b]
+        for x, y in zip(a, b):
+            assert tuple(x)[2:] == pytest.approx(tuple(y)[2:], abs=1e-9)
+
+    whole = panel(**values)
+    check(whole, None)
+    before = month_files(tmp_path)
+    check(whole, "none")
+    values["a"][100] = 77.0  # 11 April
+    check(panel(**values), datetime.date(2021, 4, 1))
+    after = month_files(tmp_path)
+    kept = {m for m in before if m < f"{MONTH}=2021-04"}
+    assert len(kept) == 3 and all(before[m] == after[m] for m in kept)
+    assert all(before[m] != after[m] for m in before.keys() - kept)
+    longer = {n: v + [1.0] * 20 for n, v in values.items()}
+    check(panel(**longer), datetime.date(2021, 5, 1))
+    shorter = {n: v[:80] for n, v in values.items()}
+    check(panel(**shorter), datetime.date(2021, 3, 1))
+    values["b"][0] = 3.0
+    check(panel(**values), None)

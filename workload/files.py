@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lullcast.operators.windows import lag_features
+from lullcast.operators import windows
 from lullcast.operators.models import fit_classifier, fit_regressor
 from lullcast.plans.training import scorer_from
 from lullcast.sources.readers import read_batches, read_template
@@ -84,13 +84,21 @@ def submission_file(spark, sf_dir):
 
 @case(f"WITH {SUPPLIER_SQL} SELECT id, ds, y, {columns(lag_sql())} FROM panel WINDOW w AS ({BY_ID})")
 def cached_feature_table(spark, sf_dir):
+    """Written for a panel without its last 40 days, then brought up to date."""
     base, key = new_path(spark, "cache"), cache_key(CFG, sf_dir)
+    panel = supplier_panel(spark, sf_dir)
+    last = panel.agg(F.max("ds")).first()[0]
+    lags = CFG["features"]["lags"]
 
-    def build():
-        return lag_features(supplier_panel(spark, sf_dir), SUPPLIER, CFG["features"]["lags"])
+    def features(rows):
+        def build(first=None):
+            make = lambda s: [windows.lag_layers(s, lags)]
+            return windows.with_layers(rows, SUPPLIER, max(lags), make, first=first)
 
-    cached_features(spark, base, key, "ds", build)
-    return cached_features(spark, base, key, "ds", lambda: 1 / 0).drop(MONTH)
+        return cached_features(spark, base, key, "ds", build, rows)
+
+    features(panel.where(F.col("ds") <= F.date_sub(F.lit(last), 40)))
+    return features(panel).drop(MONTH)
 
 
 @case(

@@ -8,11 +8,11 @@ from lullcast.config import settings
 from lullcast.operators.submission import fill_by_id, fill_by_row_key, require_unique_ids
 from lullcast.plans.prediction import predict
 from lullcast.plans.training import train
-from lullcast.sources.readers import files_by_header, first_rows, read_batches, read_panel, read_template, scan_by_header
+from lullcast.sources.readers import files_by_header, first_rows, read_batches, read_panel, read_template, read_wide, scan_by_header
 from lullcast.plans.features import feature_frame
 from lullcast.schema import PanelSchema
 from lullcast.sources.store import MONTH, cached_features
-from lullcast.sources.writers import require_same_columns, write_submission
+from lullcast.sources.writers import require_same_columns, write_submission, write_wide
 
 BOM = b"\xef\xbb\xbf"
 
@@ -258,3 +258,30 @@ def test_cache_follows_its_input(spark, panel, tmp_path):
     check(panel(**shorter), datetime.date(2021, 3, 1))
     values["b"][0] = 3.0
     check(panel(**values), None)
+
+
+def test_wide_files_of_many_series(spark, tmp_path):
+    """More series than a pivot takes, with sparse lines."""
+    rows = spark.range(60_000).select(
+        F.date_add(F.lit(datetime.date(2021, 1, 1)), (F.col("id") % 3).cast("int")).alias("ds"),
+        F.concat(F.lit("s "), (F.col("id") % 50_000).cast("string")).alias("id"),
+        F.when(F.col("id") % 7 > 0, F.col("id") / 8).alias("y"),
+    )
+    write_wide(rows, "ds", "id", "y", str(tmp_path / "wide"))
+    found = read_wide(spark, str(tmp_path / "wide"))
+    wanted = rows.where("y is not null").groupBy("ds", "id").agg(F.min("y").alias("y"))
+    assert found.count() == wanted.count()
+    assert found.exceptAll(wanted.select("ds", "id", "y")).count() == 0
+
+
+def test_wide_file_is_plain_csv(spark, tmp_path):
+    first, second = datetime.date(2021, 1, 1), datetime.date(2021, 1, 2)
+    rows = [(second, "b", 1.0), (first, 'a "x", y', 2.5), (second, "c", None), (second, "d", 4.0), (second, "d", 3.0),
+            (None, "b", 9.0), (first, None, 9.0), (datetime.date(2021, 1, 3), "b", None)]
+    write_wide(spark.createDataFrame(rows, "ds date, id string, y double"), "ds", "id", "y", str(tmp_path / "w"))
+    text = {part: "".join(p.read_text() for p in sorted((tmp_path / "w" / part).glob("part-*"))) for part in ("header", "lines")}
+    assert text["header"] == 'ds,"a ""x"", y",b,c,d\n'
+    assert text["lines"] == "2021-01-01,2.5,,,\n2021-01-02,,1.0,,3.0\n2021-01-03,,,,\n"
+    nothing = spark.createDataFrame([], "ds date, id string, y double")
+    write_wide(nothing, "ds", "id", "y", str(tmp_path / "none"))
+    assert read_wide(spark, str(tmp_path / "none")).count() == 0

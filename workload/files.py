@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from lullcast.operators import windows
 from lullcast.operators.models import fit_classifier, fit_regressor
 from lullcast.plans.training import scorer_from
-from lullcast.sources.readers import read_batches, read_template
+from lullcast.sources.readers import read_batches, read_template, read_wide
 from lullcast.sources.store import (
     MONTH,
     Artifacts,
@@ -16,7 +16,7 @@ from lullcast.sources.store import (
     load_artifacts,
     save_artifacts,
 )
-from lullcast.sources.writers import write_submission
+from lullcast.sources.writers import write_submission, write_wide
 from lullcast.workspace import new_path
 from workload.dates import columns
 from workload.registry import (
@@ -82,6 +82,23 @@ def submission_file(spark, sf_dir):
     return read_template(spark, path).select("id", "name", F.col("D1").cast("double"), "D2")
 
 
+@case(
+    """
+    SELECT CAST(o_orderdate AS DATE) AS date, 'customer ' || o_custkey || ', "' || o_orderpriority || '"' AS series,
+           min(o_totalprice) AS value
+    FROM orders GROUP BY 1, 2
+    """
+)
+def wide_file(spark, sf_dir):
+    """A column for every customer and priority, more than a pivot takes at sf0.1."""
+    orders = table(spark, sf_dir, "orders")
+    name = F.format_string('customer %d, "%s"', "o_custkey", "o_orderpriority")
+    path = new_path(spark, "wide")
+    days = orders.select(F.to_date("o_orderdate").alias("ds"), name.alias("id"), F.col("o_totalprice").alias("y"))
+    write_wide(days, "ds", "id", "y", path)
+    return read_wide(spark, path)
+
+
 @case(f"WITH {SUPPLIER_SQL} SELECT id, ds, y, {columns(lag_sql())} FROM panel WINDOW w AS ({BY_ID})")
 def cached_feature_table(spark, sf_dir):
     """Written for a panel without its last 40 days, then brought up to date."""

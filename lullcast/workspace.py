@@ -5,10 +5,12 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
-from contextvars import ContextVar
+from contextvars import ContextVar, copy_context
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folders: dict[str, str] = {}
@@ -38,7 +40,8 @@ def new_path(spark: SparkSession, label: str) -> str:
 
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
-    """Tables that this thread writes inside are deleted at the end, also after a failure."""
+    """Tables written inside, here or by ``side_by_side``, are deleted at the end, also after
+    a failure."""
     made: list[str] = []
     before = _made.set(made)
     try:
@@ -49,6 +52,20 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             _delete(spark, path)
 
 
+def side_by_side(spark: SparkSession, threads: int, work: Callable, items: Sequence) -> list:
+    """``work`` on every item, jobs of up to ``threads`` items at a time. Tables they write
+    belong to the scratch that is open here."""
+    jobs = [(copy_context(), item) for item in items]
+
+    @inheritable_thread_target(spark)
+    def run(job: tuple):
+        context, item = job
+        return context.run(work, item)
+
+    with ThreadPool(max(1, min(threads, len(jobs)))) as pool:
+        return pool.map(run, jobs)
+
+
 def written(spark: SparkSession, label: str, make: Callable[[], DataFrame]) -> DataFrame:
     """What ``make`` returns, as a written table; all other tables written on the way are
     deleted, and after a failure this one, too. It belongs to the enclosing ``scratch``, if

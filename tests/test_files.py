@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from lullcast.config import settings
 from lullcast.operators.submission import fill_by_id, fill_by_row_key, require_unique_ids
+from lullcast import workspace
+from lullcast.plans import training
 from lullcast.plans.prediction import predict
 from lullcast.plans.training import train
 from lullcast.sources.readers import files_by_header, first_rows, read_batches, read_panel, read_template, read_wide, scan_by_header
@@ -285,3 +287,20 @@ def test_wide_file_is_plain_csv(spark, tmp_path):
     nothing = spark.createDataFrame([], "ds date, id string, y double")
     write_wide(nothing, "ds", "id", "y", str(tmp_path / "none"))
     assert read_wide(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_jobs_leave_no_tables(spark, trained, tmp_path, monkeypatch):
+    shared = tmp_path / "shared"
+    shared.mkdir()
+    monkeypatch.setattr(workspace, "shared_folder", lambda spark: str(shared))
+    panel, roles = read_panel(spark, str(trained / "train.csv"), CFG)
+    train(panel, roles, CFG)
+    assert [p.name for p in shared.iterdir() if not p.name.startswith(".")] == []
+    monkeypatch.setattr(training, "best_threshold", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        train(panel, roles, CFG)
+    assert list(shared.iterdir()) == []
+    (tmp_path / "TEST_00.csv").write_text(csv_rows(["s 1"], 30), encoding="utf-8")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        predict(spark, str(trained / "model"), str(tmp_path), "/no/template.csv", str(tmp_path / "o"), CFG)
+    assert list(shared.iterdir()) == []

@@ -107,6 +107,12 @@ def user_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dense_daily_panel(events, USER, F.to_date("ts"), cents(), ["user_id"])
 
 
+def user_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The days with an event only, those whose values sum up to 0 included."""
+    events = table(spark, sf_dir, "events")
+    return daily_totals(events, USER, F.to_date("ts"), cents(), ["user_id"])
+
+
 def first_event_day(spark: SparkSession, sf_dir: str) -> Column:
     return table(spark, sf_dir, "events").select(F.min(F.to_date("ts"))).scalar()
 

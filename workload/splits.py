@@ -31,6 +31,7 @@ from workload.registry import (
     six,
     supplier_panel,
     table,
+    user_days,
     user_panel,
 )
 from workload.windows import BY_ID, RUNS, ZERO, ZERO_RUN
@@ -198,8 +199,7 @@ STEPS = ", ".join(f"max(y) FILTER (WHERE step = {h}) AS D{h}" for h in range(1,
     """
 )
 def wide_steps(spark, sf_dir):
-    days = user_panel(spark, sf_dir).filter("y > 0")
-    steps = reshape.first_steps(days, USER, H)
+    steps = reshape.first_steps(user_days(spark, sf_dir), USER, H)
     return reshape.wide_by_step(steps, ["id"], "y", H)
 
 

@@ -276,6 +276,20 @@ def test_wide_files_of_many_series(spark, tmp_path):
     assert found.exceptAll(wanted.select("ds", "id", "y")).count() == 0
 
 
+def test_empty_cells_of_a_wide_file_are_no_rows(spark, tmp_path):
+    """300 cells among 30 million, of which none but those becomes a row."""
+    rows = spark.range(300).select(
+        F.date_add(F.lit(datetime.date(2021, 1, 1)), F.col("id").cast("int")).alias("ds"),
+        F.concat(F.lit("s"), F.col("id") * 333).alias("id"), F.col("id").cast("double").alias("y"),
+    )
+    every = spark.range(100_000).select(
+        F.lit(datetime.date(2021, 1, 1)).alias("ds"), F.concat(F.lit("s"), "id").alias("id"), F.lit(None).cast("double").alias("y"))
+    write_wide(rows.unionByName(every), "ds", "id", "y", str(tmp_path / "wide"))
+    found = read_wide(spark, str(tmp_path / "wide"))
+    assert "Generate" not in found._jdf.queryExecution().toString()
+    assert found.count() == 300 and found.exceptAll(rows.select("ds", "id", "y")).count() == 0
+
+
 def test_wide_file_is_plain_csv(spark, tmp_path):
     first, second = datetime.date(2021, 1, 1), datetime.date(2021, 1, 2)
     rows = [(second, "b", 1.0), (first, 'a "x", y', 2.5), (second, "c", None), (second, "d", 4.0), (second, "d", 3.0),

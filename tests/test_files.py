@@ -13,7 +13,7 @@ from lullcast.plans.training import train
 from lullcast.sources.readers import files_by_header, first_rows, read_batches, read_panel, read_template, read_wide, scan_by_header
 from lullcast.plans.features import feature_frame
 from lullcast.schema import PanelSchema
-from lullcast.sources.store import MONTH, cached_features
+from lullcast.sources.store import MONTH, cached_features, month_digests
 from lullcast.sources.writers import require_same_columns, write_submission, write_wide
 
 BOM = b"\xef\xbb\xbf"
@@ -262,6 +262,23 @@ def test_cache_follows_its_input(spark, panel, tmp_path):
     check(panel(**values), None)
 
 
+def test_month_digests_tell_rows_apart(spark, monkeypatch):
+    """By values, nulls and names, in any order."""
+    def digest(rows, ddl="ds date, a double, b double"):
+        return month_digests(spark.createDataFrame(rows, ddl), "ds")
+
+    day, other = datetime.date(2021, 1, 1), datetime.date(2021, 1, 2)
+    known = [(day, 1.0, None), (other, None, 2.0)]
+    assert digest(known) == digest(known[::-1])
+    unlike = [known, [(day, None, 1.0), (other, None, 2.0)], [(day, 1.0, None), (other, 2.0, None)], known * 2, known[:1]]
+    found = [digest(rows) for rows in unlike] + [digest(known, "ds date, a double, c double")]
+    assert len({str(d) for d in found}) == len(found)
+    nested = [digest([(day, v)], "ds date, a array<int>") for v in ([1], [None, 1], None)]
+    assert len({str(d) for d in nested}) == 3
+    monkeypatch.setattr(F, "to_json", lambda *a: 1 / 0)  # of plain columns no text is made
+    assert digest(known) == found[0]
+
+
 def test_wide_files_of_many_series(spark, tmp_path):
     """More series than a pivot takes, with sparse lines."""
     rows = spark.range(60_000).select(

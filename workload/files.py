@@ -17,7 +17,7 @@ from lullcast.sources.store import (
     save_artifacts,
 )
 from lullcast.sources.writers import write_submission, write_wide
-from lullcast.workspace import new_path
+from lullcast.workspace import materialize, new_path
 from workload.dates import columns
 from workload.registry import (
     BATCH_CFG,
@@ -103,7 +103,7 @@ def wide_file(spark, sf_dir):
 def cached_feature_table(spark, sf_dir):
     """Written for a panel without its last 40 days, then brought up to date."""
     base, key = new_path(spark, "cache"), cache_key(CFG, sf_dir)
-    panel = supplier_panel(spark, sf_dir)
+    panel = materialize(supplier_panel(spark, sf_dir), "panel")  # digests and builds read it, twice each
     last = panel.agg(F.max("ds")).first()[0]
     lags = CFG["features"]["lags"]
 

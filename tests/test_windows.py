@@ -11,6 +11,7 @@ from lullcast.operators import windows
 from lullcast.plans.features import feature_frame
 from lullcast.plans.panels import dense_daily_panel
 from lullcast.schema import PanelSchema
+from lullcast.workspace import MANY_PARTITIONS, compiled_apart
 
 GOLDEN_Y = [0, 0, 3, 0, 2, 0, 0, 0, 5, 0]
 GOLDEN = {
@@ -189,3 +190,14 @@ def test_one_long_series_takes_many_tasks(spark, panel):
         assert found.count() == 400
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_date_features_are_compiled_apart_from_windows(panel, roles):
+    """One method for both is too long for the JIT compiler; partitions stay as they are."""
+    rows = panel(a=[1, 0, 2], b=[0, 0, 3]).repartition(3, "id")
+    frame = feature_frame(rows, roles, settings(), finite=True)
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.startswith("Project ")
+    assert plan.index("Project ") < plan.index(f"Repartition {MANY_PARTITIONS}, false") < plan.index("Window ")
+    assert frame.count() == 6
+    assert compiled_apart(rows).rdd.getNumPartitions() == 3

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from lullcast.config import settings
 from lullcast.plans.panels import daily_totals, dense_daily_panel
@@ -55,7 +56,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def rounded(df: DataFrame, *names: str) -> DataFrame:
     """Six digits, for values whose last bits depend on the engine."""
-    return df.withColumns({n: F.round(n, 6) for n in names})
+    doubles = {f.name for f in df.schema if isinstance(f.dataType, DoubleType)}
+    return df.withColumns({n: _six_digits(F.col(n)) if n in doubles else F.round(n, 6) for n in names})
+
+
+def _six_digits(x: Column) -> Column:
+    """What ``F.round(x, 6)`` gives. That makes a decimal number of every value; here only values
+    near the middle of two results, large ones and those that are no numbers take that way."""
+    millionths = x * 1e6
+    nearest = F.rint(millionths)
+    plain = (F.abs(millionths - nearest) < 0.499) & (F.abs(nearest) < 1e12)
+    return F.when(plain, (nearest + 0.0) / 1e6).otherwise(F.round(x, 6))  # 0.0: no negative zero
 
 
 def six(expression: str) -> str:

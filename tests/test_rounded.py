@@ -6,7 +6,7 @@ import time
 
 from pyspark.sql import functions as F
 
-from workload.registry import rounded
+from workload.registry import FEW, rounded
 
 
 def bits(value):
@@ -44,3 +44,12 @@ def test_takes_less_time_than_decimals(spark):
         return min(taken)
 
     assert seconds(rounded(values, "x")) < 0.7 * seconds(values.withColumn("x", F.round("x", 6)))
+
+
+def test_many_columns_keep_short_code(spark):
+    for n, short in ((FEW, False), (FEW + 1, True)):
+        names = [f"c{i}" for i in range(n)]
+        wide = spark.range(3).select(*((F.col("id") / (i + 3)).alias(c) for i, c in enumerate(names)))
+        out = rounded(wide, *names)
+        assert ("rint" not in out._jdf.queryExecution().analyzed().toString().lower()) == short
+        assert out.collect() == wide.select(*(F.round(c, 6).alias(c) for c in names)).collect()

@@ -4,7 +4,7 @@ import pytest
 from hypothesis import given
 from hypothesis import strategies as st
 
-from lullcast.llm.chat import CONTROL, Renderer, escape, format_chat, marked_turns, read_back, unescape
+from lullcast.llm.chat import CONTROL, Renderer, _common, escape, format_chat, marked_turns, read_back, unescape
 
 SCHEMA = "conv_id bigint, turn bigint, role string, text string, span string, start string"
 
@@ -125,3 +125,39 @@ def test_starts(spark, given_rows):
     for r in sorted(rows, key=lambda r: r.turn):
         assert r.start == at
         at += len(r.span)
+
+
+def passing(messages):
+    """Folds the first turn while there are 70 to 100 turns."""
+    kept = messages[1:] if 70 <= len(messages) <= 100 else messages
+    return "".join(f"[{role}] {text}\n" for role, text in kept)
+
+
+def numbered(messages):
+    return "".join(f"{k}:{text};" for k, (_, text) in enumerate(messages))
+
+
+def test_every_prefix_is_rendered_whole(spark):
+    rows = [(1, k, "user", f"turn {k}", "", "") for k in range(128)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    found = sorted(format_chat(frame, passing).collect(), key=lambda r: r.turn)
+    assert [r.rewrites for r in found] == [k >= 69 for k in range(128)]
+    found = sorted(format_chat(frame, numbered).collect(), key=lambda r: r.turn)
+    assert [r.span for r in found] == [f"{k}:turn {k};" for k in range(128)]
+    assert [r.span[r.text_at :][: r.text_length] for r in found] == [f"turn {k}" for k in range(128)]
+    assert not any(r.rewrites or r.windowed for r in found)
+
+
+def test_history_beyond_the_bound_is_rendered_whole():
+    messages = [("user", f"some text {k}") for k in range(150)]
+    for template, rewrites in ((marked_turns, False), (trimming, True)):
+        renderer = Renderer(template, 8, held_chars=500)
+        spans = [renderer.add(m)[0] for m in messages]
+        assert renderer.windowed and renderer.finish() is rewrites
+        assert rewrites or "".join(spans) == marked_turns(messages)
+
+
+@given(st.text("ab", max_size=9), st.text("ab", max_size=9))
+def test_common(a, b):
+    n = _common(a, b)
+    assert a[:n] == b[:n] and (n == min(len(a), len(b)) or a[n] != b[n])
